@@ -66,6 +66,7 @@ def main(directory, names):
         conf={
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "12g",
         },
         log_level="ERROR",

@@ -16,6 +16,7 @@ def spark():
         conf={
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
             "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         },
