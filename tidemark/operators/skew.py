@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,22 +16,29 @@ MAX_HEAVY_KEYS = 10_000
 
 
 def heavy_keys(
-    df: DataFrame, key: str, min_rows: int = HEAVY_KEY_ROWS, max_keys: int = MAX_HEAVY_KEYS
-) -> list:
-    """The keys with more than ``min_rows`` rows, at most ``max_keys`` of them, heaviest first.
-
-    One column is scanned and counted with map-side combine; only the short list is collected.
+    df: DataFrame,
+    *keys: str,
+    min_rows: int = HEAVY_KEY_ROWS,
+    max_keys: int = MAX_HEAVY_KEYS,
+) -> dict[str, list]:
+    """Per key column the values with more than ``min_rows`` rows, at most ``max_keys`` of them,
+    heaviest first.
+
+    Only the key columns are scanned, counts are combined before the shuffle, and one job collects
+    the short lists.
     """
-    rows = (
+    lists = [
         df.filter(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("key"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > min_rows)
-        .orderBy(F.desc("n"), "key")
+        .groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .filter(F.col("_rows") > min_rows)
+        .orderBy(F.desc("_rows"), key)
         .limit(max_keys)
-        .collect()
-    )
-    return [row["key"] for row in rows]
+        .select(F.lit(key).alias("_key"), key)
+        for key in keys
+    ]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), lists).collect()
+    return {key: [r[key] for r in rows if r["_key"] == key] for key in keys}
 
 
 def split_heavy(df: DataFrame, key: str, keys: list) -> tuple[DataFrame, DataFrame]:

@@ -85,7 +85,7 @@ def sliding(
     """
     source = df if source is None else source
     if heavy is None:
-        heavy = heavy_keys(source, key, heavy_rows)
+        heavy = heavy_keys(source, key, min_rows=heavy_rows)[key]
     if not heavy:
         return _windowed(df, key, time, row_id, measures)
     light, dense = split_heavy(df, key, heavy)

@@ -171,8 +171,8 @@ def _compute(
     by_user = [m for g in groups for m in g.by_user]
     by_device = [m for g in groups for m in g.by_device]
     # Counted on the plain input, so that finding heavy keys reads one column only.
-    heavy_users = heavy_keys(df, "user_id", heavy_rows) if by_user else []
-    heavy_devices = heavy_keys(df, "device_id", heavy_rows) if by_device else []
+    keys = [k for k, measures in (("user_id", by_user), ("device_id", by_device)) if measures]
+    heavy = heavy_keys(df, *keys, min_rows=heavy_rows)
 
     rows = df.withColumn(TIME, epoch_seconds("transaction_timestamp"))
     if merchants is not None:
@@ -182,9 +182,9 @@ def _compute(
         rows = with_payment_created(rows, payment_methods)
     kept = [c for c in rows.columns if c not in (TIME, PAYMENT_TIME)]
     if by_user:
-        rows = sliding(rows, "user_id", TIME, ROW_ID, by_user, heavy_users, source=source)
+        rows = sliding(rows, "user_id", TIME, ROW_ID, by_user, heavy["user_id"], source=source)
     if by_device:
-        rows = sliding(rows, "device_id", TIME, ROW_ID, by_device, heavy_devices, source=source)
+        rows = sliding(rows, "device_id", TIME, ROW_ID, by_device, heavy["device_id"], source=source)
 
     derived = {name: column for g in groups for name, column in g.derived().items()}
     outputs = [name for g in groups for name in g.outputs]

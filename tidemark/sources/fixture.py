@@ -40,7 +40,7 @@ class Fixture:
         return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
 
     def transactions(self) -> DataFrame:
-        k = F.get_json_object("props", "$.k").cast("int")
+        k = F.regexp_extract("props", r'"k": *(\d+)', 1).cast("int")
         kind, value = F.col("event_type"), F.col("value")
         events = self.raw("events").withColumn("k", k)
         currency = F.create_map(
