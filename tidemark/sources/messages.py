@@ -66,9 +66,13 @@ def parse(messages: DataFrame, fallback_id: Column | None = None) -> DataFrame:
     data = F.from_json(
         F.col("value").cast("string"), schema, {"columnNameOfCorruptRecord": _MALFORMED}
     )
+    # As a generator's output the fields are parsed once; a plain projection would be substituted
+    # into every filter on them, parsing the text again for each mention.
     flat = messages.select(
-        F.col("value").cast("string").alias("_value"), fallback_id.alias("_id"), data.alias("data")
-    ).select("_value", "_id", "data.*")
+        F.col("value").cast("string").alias("_value"),
+        fallback_id.alias("_id"),
+        F.inline(F.array(data)),
+    )
     malformed = F.col(_MALFORMED).isNotNull() | F.col("_value").isNull()
     typed = flat.withColumns(
         {
