@@ -86,10 +86,10 @@ def stratified_split_flag(
 ) -> DataFrame:
     """Add ``is_test``: exactly the given share of each class, the smallest digests of the ids.
 
-    Rows are counted per class and leading digest digits, 65,536 groups per class. Whole groups
+    Rows are counted per class and leading digest digits, 1,048,576 groups per class. Whole groups
     fall to one side; only the one group per class that the border runs through is ranked.
     """
-    digits = 4
+    digits = 5
     placed = df.withColumns(
         {"_digest": _digest(row_id), "_group": F.substring(_digest(row_id), 1, digits)}
     )
@@ -104,7 +104,7 @@ def stratified_split_flag(
                 "_wanted": F.floor(F.sum("_n").over(whole) * fraction + 0.5),
             }
         )
-        .filter((F.col("_upto") >= F.col("_wanted")) & (F.col("_upto") - F.col("_n") < F.col("_wanted")))
+        .filter(F.col("_wanted").between(F.col("_upto") - F.col("_n") + 1, F.col("_upto")))
         .select(
             label,
             F.col("_group").alias("_border"),

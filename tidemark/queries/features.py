@@ -120,6 +120,20 @@ for _key, _name, _group in (
     _register_column(_key, _name, _group)
 
 
+@query(
+    "w16_category_seen_30d",
+    f"""select transaction_id, case when category is not null and {SEEN} is not null
+        then 1 else 0 end as category_seen from txm""",
+    "txm",
+)
+def _(fx):
+    """Whether the category occurred in the 30 days before the second of the transaction."""
+    rows = P.behavioral_features(fx.transactions(), fx.merchants())
+    return rows.select(
+        "transaction_id", (1 - F.col("is_new_merchant_category")).alias("category_seen")
+    )
+
+
 def _register_group(key: str, columns: dict[str, str], group: P.FeatureGroup) -> None:
     @query(key, _sql(columns), "txm pm")
     def _(fx):

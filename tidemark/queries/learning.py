@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
@@ -353,6 +354,50 @@ def _(fx):
     rows = features
     for stage in stages:
         rows = stage.transform(rows)
-    from pyspark.ml.functions import vector_to_array
-
     return rows.select(ID, vector_to_array(L.VECTOR, "float32").alias("inputs"), S.LABEL)
+
+
+def _trained(fx, name: str, **options):
+    features = feature_table(fx)
+    scored = L.score(L.train(features, name, **options), features)
+    return scored.select(ID, S.LABEL, "fraud_probability")
+
+
+@query("l04_boosted_trees")
+def _(fx):
+    """Trained on the training part, then all transactions scored. Fewer rounds than the default
+    200, each of which is several Spark jobs whatever the size of the data."""
+    return _trained(fx, "gbt", settings={"maxIter": 10})
+
+
+@query("l05_random_forest")
+def _(fx):
+    return _trained(fx, "rf")
+
+
+@query("l06_perceptron")
+def _(fx):
+    return _trained(fx, "mlp")
+
+
+@query("l10_batch_scoring")
+def _(fx):
+    """Both class probabilities and the prediction at the stored threshold."""
+    features = feature_table(fx)
+    model = L.with_threshold(L.train(features, "rf", settings={"numTrees": 20}), 0.3)
+    scored = L.score(model, features)
+    return M.predictions(
+        scored.select(
+            ID,
+            F.col("probabilities")[0].alias("normal_probability"),
+            "fraud_probability",
+        ),
+        L.alert_threshold(model),
+        "fraud_probability",
+    )
+
+
+@query("k08_top_importances")
+def _(fx):
+    model = L.train(feature_table(fx), "rf", settings={"numTrees": 20})
+    return L.top_importances(model, fx.spark, L.input_names())

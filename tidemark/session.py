@@ -28,6 +28,7 @@ def create_session(
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if packages:
         settings["spark.jars.packages"] = ",".join(packages)

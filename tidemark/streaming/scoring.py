@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas as S
+from tidemark.operators.access import HISTORY_COLUMNS
 from tidemark.operators.skew import HEAVY_KEY_ROWS
 from tidemark.plans.features import all_features
 from tidemark.plans.models import alert_threshold, score
@@ -69,6 +70,7 @@ def append_history(transactions: DataFrame, history: str, batch_id: int) -> None
             {"event_date": F.to_date("transaction_timestamp"), "batch_id": F.lit(batch_id)}
         )
         .hint("rebalance", "event_date")
+        .sortWithinPartitions("event_date", "batch_id", "user_id")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("event_date", "batch_id")
@@ -95,6 +97,13 @@ def read_history(spark: SparkSession, history: str, first: date, last: date) ->
     return spark.read.schema(schema).option("basePath", history).parquet(pattern)
 
 
+def _repeats(known: DataFrame, incoming: DataFrame, batch_id: int) -> DataFrame:
+    """Ids of the batch that earlier batches stored. The batch is the small side of this join, so
+    what remains of the stored ids is small as well."""
+    earlier = known.filter(F.col("batch_id") != batch_id).select(ID)
+    return earlier.join(incoming.select(ID), ID, "left_semi")
+
+
 def touched_history(history: DataFrame, incoming: DataFrame) -> DataFrame:
     """Stored rows of the users and of the devices that occur in the batch, each once.
 
@@ -121,9 +130,12 @@ def batch_features(
         .groupBy(F.col("payment_id").alias("payment_method_id"))
         .agg(F.min("payment_created_at").alias("created_at"))
     )
-    rows = _transactions(touched_history(history, incoming))
+    # Old rows are read and shuffled in the few columns that features need; what else a
+    # transaction carries comes from the batch itself.
+    rows = touched_history(history.select(ID, *HISTORY_COLUMNS), incoming)
     computed = all_features(rows, merchants, created, heavy_rows)
-    return computed.join(incoming.select(ID), ID, "left_semi")
+    rest = _transactions(incoming).drop(*HISTORY_COLUMNS)
+    return computed.join(rest, ID)
 
 
 def alerts(
@@ -167,8 +179,7 @@ def process_batch(
             return
         known = read_history(spark, stores.history, span["first"], span["last"])
         if known is not None:
-            earlier = known.filter(F.col("batch_id") != batch_id).select(ID)
-            usable = usable.join(earlier, ID, "left_anti")
+            usable = usable.join(_repeats(known, usable, batch_id), ID, "left_anti")
         usable = usable.persist()
         try:
             if usable.isEmpty():
