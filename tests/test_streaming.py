@@ -108,6 +108,23 @@ def test_other_users_of_the_device_count(spark, stores, merchants):
     assert features(spark, stores)["2"]["user_transaction_count_1h"] == 1
 
 
+def test_old_history_is_thinned_without_effect(spark, stores, merchants):
+    """Novelty looks back 30 days, the gap further; both survive the thinning."""
+    old = [message(i, f"2024-01-{i:02d} 00:00:00", merchant_id=1 + i % 2) for i in range(1, 15)]
+    run(spark, stores, merchants, 0, *old)
+    run(spark, stores, merchants, 1, message("late", "2024-02-01 00:00:00", merchant_id=1))
+    run(spark, stores, merchants, 2, message("later", "2024-03-01 00:00:00", merchant_id=1))
+    got = features(spark, stores)
+    assert got["late"]["seconds_since_last_transaction"] == 18 * 86400
+    assert got["late"]["is_new_merchant_category"] == 0
+    assert got["late"]["user_unique_merchants_24h"] == 1
+    assert got["later"]["seconds_since_last_transaction"] == 29 * 86400
+    assert got["later"]["is_new_merchant_category"] == 0
+    history = spark.read.parquet(stores.history).withColumn("merchant_category", F.lit("x"))
+    border = spark.sql("select timestamp'2024-02-01'").first()[0]
+    assert R.thinned(history, border).count() == 3
+
+
 def test_alerts_are_written_and_published(spark, stores, merchants):
     fx = Fixture(spark, "/root/testdata/sf0.001")
     model = L.train(feature_table(fx), "rf", settings={"numTrees": 3, "maxDepth": 3})

@@ -12,7 +12,7 @@ HEAVY_KEY_ROWS = 2_000_000
 
 # Upper bound on the number of keys sent to the driver and broadcast. Keys beyond the heaviest
 # N hold less than 1/N of the rows each; they take the ordinary path, so no row is ever lost.
-MAX_HEAVY_KEYS = 10_000
+MAX_HEAVY_KEYS = 100_000
 
 
 def heavy_keys(

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -20,12 +20,13 @@ from pyspark.sql import types as T
 from tidemark import schemas as S
 from tidemark.operators.access import HISTORY_COLUMNS
 from tidemark.operators.skew import HEAVY_KEY_ROWS
-from tidemark.plans.features import all_features
+from tidemark.plans.features import all_features, with_merchant_category
 from tidemark.plans.models import alert_threshold, score
 from tidemark.sources import messages as M
 
 ID = "transaction_id"
 _LATEST_FRAME_DAYS = S.LONGEST_LOOKBACK // S.DAY
+_LONGEST_SUM_DAYS = 7
 
 
 @dataclass(frozen=True)
@@ -114,6 +115,29 @@ def touched_history(history: DataFrame, incoming: DataFrame) -> DataFrame:
     return by_user.unionByName(by_device).dropDuplicates([ID])
 
 
+def thinned(history: DataFrame, earliest: datetime) -> DataFrame:
+    """Only the rows that can matter to transactions from ``earliest`` on.
+
+    Sums and distinct counts look back seven days at most. Of what is older, only the time since
+    the last transaction and the 30-day novelty of a category depend, and for both the latest old
+    row per user and category is enough; it is found with map-side combine.
+    """
+    border = F.lit(earliest) - F.expr(f"INTERVAL {_LONGEST_SUM_DAYS} DAYS 1 SECOND")
+    is_recent = F.col("transaction_timestamp") >= border
+    latest_old = (
+        history.filter(~is_recent)
+        .groupBy("user_id", "merchant_category")
+        .agg(
+            F.max_by(
+                F.struct(*[c for c in history.columns if c not in ("user_id", "merchant_category")]),
+                "transaction_timestamp",
+            ).alias("row")
+        )
+        .select("user_id", "merchant_category", "row.*")
+    )
+    return history.filter(is_recent).unionByName(latest_old)
+
+
 def batch_features(
     history: DataFrame,
     incoming: DataFrame,
@@ -133,6 +157,8 @@ def batch_features(
     # Old rows are read and shuffled in the few columns that features need; what else a
     # transaction carries comes from the batch itself.
     rows = touched_history(history.select(ID, *HISTORY_COLUMNS), incoming)
+    earliest = incoming.agg(F.min("transaction_timestamp")).first()[0]
+    rows = thinned(with_merchant_category(rows, merchants), earliest)
     computed = all_features(rows, merchants, created, heavy_rows)
     rest = _transactions(incoming).drop(*HISTORY_COLUMNS)
     return computed.join(rest, ID)
