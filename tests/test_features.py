@@ -77,6 +77,8 @@ def test_one_exchange_per_key(spark):
     fx = Fixture(spark, "/root/testdata/sf0.001")
     df = P.all_features(fx.transactions(), fx.merchants(), fx.payment_methods())
     plan = df._jdf.queryExecution().executedPlan().toString()
+    # by user: one sort per value column, one by time; by device: two value columns, one by time
+    assert plan.count("Sort [user_id") == 5 and plan.count("Sort [device_id") == 3
     assert plan.count("Exchange hashpartitioning(user_id") == 1
     assert plan.count("Exchange hashpartitioning(device_id") == 1
     assert "SinglePartition" not in plan and "CartesianProduct" not in plan

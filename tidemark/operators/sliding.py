@@ -157,8 +157,11 @@ def _windowed(
                 w.rangeBetween(before, -(m.seconds + 1))
             )
         elif isinstance(m, Gap):
-            running[f"_{m.name}"] = F.lag(time).over(Window.partitionBy(key).orderBy(time, row_id))
-            result[m.name] = F.col(time) - F.col(f"_{m.name}")
+            # By frames over time rather than by lag over (time, row id): no sort of its own.
+            running["_before"] = F.max(time).over(w.rangeBetween(before, -1))
+            running["_first"] = F.min(row_id).over(w.rangeBetween(0, 0))
+            is_first = F.col(row_id) == F.col("_first")
+            result[m.name] = F.when(is_first, F.col(time) - F.col("_before")).otherwise(0)
             continue
         else:
             seen = F.col(f"_seen{index[m.column]}")

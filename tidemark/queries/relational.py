@@ -694,6 +694,33 @@ def _(fx):
     return keyed.select("payment_method_id", ID, "user_id")
 
 
-@query("s12_generated_ids")
+@query(
+    "s12_generated_ids",
+    "select count(*) as rows, count(*) as different_ids, true as stable from tx",
+    "tx",
+)
+def _(fx):
+    """Random ids for a batch differ; ids from a topic position come out the same again."""
+    position = fx.transactions().select(
+        F.lit("transactions").alias("topic"), F.lit(0).alias("partition"), F.col(ID).alias("offset")
+    )
+    ids = position.select(
+        F.uuid().alias("random"), M.position_id().alias("first"), M.position_id().alias("again")
+    )
+    return ids.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.least(F.count_distinct("random"), F.count_distinct("first")).alias("different_ids"),
+        F.every(F.col("first") == F.col("again")).alias("stable"),
+    )
+
+
+@query(
+    "k02_random_pick_is_a_row",
+    "select cast(5 as bigint) as picked, cast(5 as bigint) as known from usr limit 1",
+    "usr",
+)
 def _(fx):
-    return fx.transactions().select(F.uuid().alias("generated_id"), ID)
+    """Random rows of the whole table are that many different rows of it."""
+    picked = A.random_rows(fx.users().select("user_id"), 5).distinct()
+    known = picked.join(fx.users().select("user_id", F.lit(1).alias("known")), "user_id", "left")
+    return known.agg(F.count("user_id").alias("picked"), F.count("known").alias("known"))

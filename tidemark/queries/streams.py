@@ -61,12 +61,20 @@ def stream_replay(fx):
     return all_feature_columns(fx.spark.read.parquet(stores.features))
 
 
-@query("p17_alert_records")
+@query(
+    "p17_alert_records",
+    """select transaction_id, user_id, score as fraud_probability, 'gbt' as model_name,
+              true as is_dated
+       from scored join (select transaction_id, user_id from tx) using (transaction_id)
+       where score >= 0.05""",
+    "tx scored",
+)
 def _(fx):
-    """Alert records from whole-table scores."""
+    """Alert records from whole-table scores; the moment of the alert only as being there."""
     rows = fx.scored().withColumnRenamed("score", "fraud_probability")
     scored = rows.join(fx.transactions().select("transaction_id", "user_id"), "transaction_id")
-    return R.alerts(scored, "gbt", 0.05)
+    found = R.alerts(scored, "gbt", 0.05)
+    return found.withColumn("is_dated", F.col("alerted_at").isNotNull()).drop("alerted_at")
 
 
 @query(
