@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import minhash
+from tidemark.llm import bpe, language, minhash, quality
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +27,18 @@ def query(name: str, sql: str | None = None):
 @query("op1_minhash")
 def op1_minhash(spark: SparkSession, directory: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, directory, "documents"))
+
+
+@query("op2_quality")
+def op2_quality(spark: SparkSession, directory: str) -> DataFrame:
+    return quality.quality(table(spark, directory, "documents"), table(spark, directory, "labels"))
+
+
+@query("op10_language")
+def op10_language(spark: SparkSession, directory: str) -> DataFrame:
+    return language.languages(table(spark, directory, "documents"))
+
+
+@query("op7_bpe")
+def op7_bpe(spark: SparkSession, directory: str) -> DataFrame:
+    return bpe.digests(table(spark, directory, "documents"), public_tokenizers.path("word_bpe_49k.json"))
