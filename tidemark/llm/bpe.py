@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 SPACE = r"\t-\r \x85\xa0  -     　"
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^" + SPACE + r"\p{L}\p{N}]+"
 WORD_END = "</w>"
+_CONTROL = regex.compile("[\x1c-\x1f]")
 _NO_RANK = np.iinfo(np.int64).max
 
 
@@ -35,7 +36,7 @@ class Vocabulary:
     """Merge tables, special tokens and the two directions for one vocabulary file."""
 
     #: Words remembered between groups of texts, and words of the texts worked on together.
-    CACHED_WORDS, GROUP_WORDS = 300_000, 200_000
+    CACHED_WORDS, GROUP_WORDS = 400_000, 200_000
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -63,43 +64,55 @@ class Vocabulary:
         symbols = byte_symbols()
         self.inside = np.array([ids[s] for s in symbols], np.int64)
         self.ending = np.array([ids[s + WORD_END] for s in symbols], np.int64)
-        self.words: dict[str, tuple[str, str, int]] = {}
+        self.known: dict[str, tuple[str, str, int]] = {}
         marks = "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))
         self._mark = regex.compile(f"({marks})") if marks else None
         self._space = regex.compile(f"[{SPACE}]+")
         self._word = regex.compile(WORD)
+        self.id_text = [str(i) for i in range(len(self.tokens))]
 
-    def split(self, text: str) -> list[str]:
-        """Words in order; a special token that the text spells out is a word of its own."""
-        found: list[str] = []
-        if self._mark and self._mark.search(text):
-            for part in self._mark.split(text):
+    def split(self, run: str) -> list[str]:
+        """Words of a text in order; a special token that it spells out is a word of its own."""
+        if self._mark and "<" in run and self._mark.search(run):
+            found: list[str] = []
+            for part in self._mark.split(run):
                 found += [part] if part in self.special else self._plain(part)
             return found
-        return self._plain(text)
+        return self._plain(run)
 
     def _plain(self, text: str) -> list[str]:
-        text = self._space.sub(" ", unicodedata.normalize("NFC", text))
+        # White space is in no word, so making it one space would change nothing.
+        text = unicodedata.normalize("NFC", text)
         # Characters are lowered one by one: no final form of sigma.
-        return self._word.findall(text.replace("Σ", "σ").lower())
-
-    def learn(self, words: set[str]) -> None:
-        """Encode new words together and remember ids and decoded text of each."""
-        new = [w for w in words if w not in self.words]
-        plain = []
-        for word in new:
-            if word in self.special:
-                self.words[word] = (str(self.special[word]), word, 1)
-            else:
-                plain.append(word)
-        for start in range(0, len(plain), 20_000):
-            part = plain[start : start + 20_000]
-            for word, ids in zip(part, self.merge(part)):
-                self.words[word] = (
-                    " ".join(map(str, ids)),
-                    " ".join([self.tokens[i] for i in ids]),
-                    len(ids),
-                )
+        return self._word.findall(text.replace("\u03a3", "\u03c3").lower())
+
+    def runs(self, text: str | None) -> list[str]:
+        """Stretches without white space: neither words nor special tokens nor composition cross it."""
+        if not text:
+            return []
+        if _CONTROL.search(text):  # what only Python takes for white space
+            return [r for r in self._space.split(text) if r]
+        return text.split()
+
+    def learn(self, runs: set[str]) -> None:
+        """Encode new stretches together; remember ids, decoded text and number of tokens of each."""
+        new = [r for r in runs if r not in self.known]
+        if not new:
+            return
+        split = [self.split(r) for r in new]
+        plain = list({w for words in split for w in words if w not in self.special})
+        ids = {s: [i] for s, i in self.special.items()}
+        for start in range(0, len(plain), 50_000):
+            part = plain[start : start + 50_000]
+            ids.update(zip(part, self.merge(part)))
+        id_text, tokens = self.id_text, self.tokens
+        for run, words in zip(new, split):
+            own = ids[words[0]] if len(words) == 1 else [i for w in words for i in ids[w]]
+            self.known[run] = (
+                " ".join([id_text[i] for i in own]),
+                " ".join([tokens[i] for i in own]),
+                len(own),
+            )
 
     def merge(self, words: list[str]) -> list[list[int]]:
         data = [w.encode("utf-8", "surrogatepass") for w in words]
@@ -117,7 +130,8 @@ class Vocabulary:
         order = np.argsort(owners, kind="stable")
         ids = np.concatenate([s for s, _ in done])[order]
         cuts = np.searchsorted(owners[order], np.arange(1, len(words)))
-        return [part.tolist() for part in np.split(ids, cuts)]
+        ids, cuts = ids.tolist(), [0, *cuts.tolist(), len(ids)]
+        return [ids[i:j] for i, j in zip(cuts[:-1], cuts[1:])]
 
     def _round(self, symbols: np.ndarray, owner: np.ndarray):
         """Merge the lowest-ranked pair of every word; words without one are settled."""
@@ -151,7 +165,7 @@ class Vocabulary:
         group: list[list[str]] = []
         size = 0
         for text in texts:
-            group.append(self.split(text) if text else [])
+            group.append(self.runs(text))
             size += len(group[-1])
             if size >= self.GROUP_WORDS:
                 yield from self._encoded(group)
@@ -159,17 +173,16 @@ class Vocabulary:
         yield from self._encoded(group)
 
     def _encoded(self, group: list[list[str]]) -> Iterator[tuple[str, str, int]]:
-        if len(self.words) > self.CACHED_WORDS:
-            self.words.clear()
-        self.learn({w for words in group for w in words})
-        known = self.words
-        for words in group:
-            parts = [known[w] for w in words]
-            yield (
-                " ".join([p[0] for p in parts]),
-                " ".join([p[1] for p in parts]),
-                sum([p[2] for p in parts]),
-            )
+        if len(self.known) > self.CACHED_WORDS:
+            self.known.clear()
+        self.learn(set().union(*group))
+        get = self.known.__getitem__
+        for runs in group:
+            if runs:
+                ids, decoded, counts = zip(*map(get, runs))
+                yield " ".join(ids), " ".join(decoded), sum(counts)
+            else:
+                yield "", "", 0
 
     def decode(self, ids: list[int]) -> str:
         """Tokens joined by one space, as of a vocabulary without a decoder; unknown ids are skipped."""
