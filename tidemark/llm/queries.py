@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, language, minhash, quality
+from tidemark.llm import bpe, fingerprints, language, minhash, quality
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,8 @@ def op10_language(spark: SparkSession, directory: str) -> DataFrame:
 @query("op7_bpe")
 def op7_bpe(spark: SparkSession, directory: str) -> DataFrame:
     return bpe.digests(table(spark, directory, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op9_fingerprints")
+def op9_fingerprints(spark: SparkSession, directory: str) -> DataFrame:
+    return fingerprints.compared(table(spark, directory, "documents"))
