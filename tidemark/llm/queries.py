@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, fingerprints, language, minhash, quality
+from tidemark.llm import bpe, fingerprints, language, minhash, quality, vectors
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,8 @@ def op7_bpe(spark: SparkSession, directory: str) -> DataFrame:
 @query("op9_fingerprints")
 def op9_fingerprints(spark: SparkSession, directory: str) -> DataFrame:
     return fingerprints.compared(table(spark, directory, "documents"))
+
+
+@query("op3_vectors")
+def op3_vectors(spark: SparkSession, directory: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, directory, "embeddings"))
