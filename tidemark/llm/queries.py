@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, fingerprints, language, minhash, quality, vectors
+from tidemark.llm import bpe, extraction, fingerprints, language, minhash, quality, vectors
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,8 @@ def op9_fingerprints(spark: SparkSession, directory: str) -> DataFrame:
 @query("op3_vectors")
 def op3_vectors(spark: SparkSession, directory: str) -> DataFrame:
     return vectors.near_vectors(table(spark, directory, "embeddings"))
+
+
+@query("op5_extraction")
+def op5_extraction(spark: SparkSession, directory: str) -> DataFrame:
+    return extraction.extracted(table(spark, directory, "pages"))
