@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, extraction, fingerprints, language, minhash, quality, vectors
+from tidemark.llm import bpe, extraction, fingerprints, language, minhash, packing, quality, sharding, vectors
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,13 @@ def op3_vectors(spark: SparkSession, directory: str) -> DataFrame:
 @query("op5_extraction")
 def op5_extraction(spark: SparkSession, directory: str) -> DataFrame:
     return extraction.extracted(table(spark, directory, "pages"))
+
+
+@query("op4_packing", packing.oracle_sql())
+def op4_packing(spark: SparkSession, directory: str) -> DataFrame:
+    return packing.packed(table(spark, directory, "documents"))
+
+
+@query("op6_sharding")
+def op6_sharding(spark: SparkSession, directory: str) -> DataFrame:
+    return sharding.sharded(table(spark, directory, "documents"))
