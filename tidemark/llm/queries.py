@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, extraction, fingerprints, language, minhash, packing, quality, sharding, vectors
+from tidemark.llm import bpe, extraction, fingerprints, language, minhash, packing, quality, scoring, sharding, vectors
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,8 @@ def op4_packing(spark: SparkSession, directory: str) -> DataFrame:
 @query("op6_sharding")
 def op6_sharding(spark: SparkSession, directory: str) -> DataFrame:
     return sharding.sharded(table(spark, directory, "documents"))
+
+
+@query("op8_scoring")
+def op8_scoring(spark: SparkSession, directory: str) -> DataFrame:
+    return scoring.scored(table(spark, directory, "documents"))
