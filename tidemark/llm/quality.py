@@ -41,6 +41,7 @@ class Settings:
     steps: int = 600
     rate: float = 0.05
     decay: float = 1e-3
+    decay_rows: float = 3.0
     clip: float = 8.0
     least_tail: float = 0.8
 
@@ -136,11 +137,12 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def _descend(gradient, size: int, settings: Settings) -> np.ndarray:
-    """Adam on the whole sample."""
+def _descend(gradient, size: int, rows: int, settings: Settings) -> np.ndarray:
+    """Adam on the whole sample; few rows are held back more."""
+    decay = settings.decay + settings.decay_rows / rows
     weights, mean, square = np.zeros(size), np.zeros(size), np.zeros(size)
     for step in range(1, settings.steps + 1):
-        g = gradient(weights) + settings.decay * weights
+        g = gradient(weights) + decay * np.append(weights[:-1], 0)  # the bias is free
         mean = 0.9 * mean + 0.1 * g
         square = 0.999 * square + 0.001 * g * g
         rate = settings.rate * min(1.0, 2 * (1 - step / (settings.steps + 1)))
@@ -160,7 +162,7 @@ def fit_contrast(positive: np.ndarray, unlabelled: np.ndarray, settings: Setting
     def gradient(w):
         return (p.T @ (_sigmoid(p @ w) - 1)) / len(p) + (u.T @ _sigmoid(u @ w)) / len(u)
 
-    weights = _descend(gradient, p.shape[1], settings)
+    weights = _descend(gradient, p.shape[1], len(p), settings)
     return Model(middle, scale, weights, 1.0, settings.clip)
 
 
@@ -185,7 +187,7 @@ def fit_non_negative(
         # Below zero the negative part of the risk is no evidence: step back from it instead.
         return good + bad if risk >= 0 else -bad
 
-    weights = _descend(gradient, p.shape[1], settings)
+    weights = _descend(gradient, p.shape[1], len(p), settings)
     return Model(contrast.middle, contrast.scale, weights, prior, contrast.clip)
 
 
