@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import language, minhash, packing, quality
-from tidemark.llm.common import keep, table
+from tidemark.llm.common import keep, sent_ids, table
 
 #: The first two stages are learned models, which SQL can't express; tests compare with brute force.
 ORACLE_SQL = None
@@ -17,8 +17,10 @@ def _with_decision(docs: DataFrame, decided: DataFrame, accepted: str) -> DataFr
 
     A null id has no decision to join by; such rows stay, as nothing is known against them.
     """
-    rejected = decided.where(f"doc_id is not null and not ({accepted})").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti")
+    rejected = keep(
+        decided.where(f"doc_id is not null and not ({accepted})").select("doc_id").distinct()
+    )
+    return docs.join(sent_ids(rejected), "doc_id", "left_anti")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +43,7 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     repeated = (
         decided.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
     )
-    repeated = keep(repeated)
+    repeated = sent_ids(keep(repeated))
     once = survivors.join(repeated, "doc_id", "left_anti")
     again = survivors.join(repeated, "doc_id", "left_semi")
     return once.unionByName(

@@ -38,6 +38,15 @@ def discard(*kept: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Ids that are sent to every task at most (16 MB); beyond that the join shuffles both sides.
+BROADCAST_IDS = 2_000_000
+
+
+def sent_ids(ids: DataFrame) -> DataFrame:
+    """A kept one-column table of ids to join texts by, broadcast where its counted size allows it."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the fold that models never learn from; false where the id is null."""
     return F.coalesce(
