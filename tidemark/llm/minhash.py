@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, discard, group_bounds, keep, whole_groups
+from tidemark.llm.common import components, discard, group_bounds, keep, sent_ids, whole_groups
 from tidemark.llm.shingles import WordNames, hash_keys, minima, mix, shingle_names, words_of
 
 BITS = 2
@@ -224,7 +224,13 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     """
     signed = keep(signatures(docs, settings))
     known = signed.where(F.col("class").isNotNull() & F.col("doc_id").isNotNull())
-    classes = known.groupBy("class").agg(F.min("doc_id").alias("first_id"))
+    # Kept by itself, so that the join may split the rows of a large class.
+    classes = keep(
+        known.groupBy("class")
+        .agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
+        .where("copies > 1")
+        .drop("copies")
+    )
     members = keep(
         signed.select("doc_id", "n_shingles", "class")
         .join(classes, "class", "left")
@@ -276,10 +282,10 @@ def _links(docs: DataFrame, singles: DataFrame, settings: Settings) -> DataFrame
     )
     sorted_blocks = blocks.repartition(*_BLOCK_KEYS).sortWithinPartitions(*_BLOCK_KEYS)
     taking_part = keep(sorted_blocks.mapInPandas(_participants(settings), sorted_blocks.schema))
-    wanted = taking_part.select("doc_id").distinct()
+    wanted = keep(taking_part.select("doc_id").distinct())
     texts = keep(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .join(wanted, "doc_id", "left_semi")
+        .join(sent_ids(wanted), "doc_id", "left_semi")
         .dropDuplicates(["doc_id"])
     )
     with_text = (
