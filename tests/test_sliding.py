@@ -117,8 +117,42 @@ def test_later_rows_change_nothing(spark):
     assert all(late[i] == early[i] for i in range(40))
 
 
-def test_heavy_keys_are_bounded(spark):
+def test_heavy_keys(spark):
     df = spark.range(1000).select((F.col("id") % 10).alias("k"), (F.col("id") % 2).alias("j"))
-    found = heavy_keys(df, "k", "j", min_rows=50, max_keys=3)
-    assert len(found["k"]) == 3 and sorted(found["j"]) == [0, 1]
-    assert heavy_keys(df, "k", min_rows=100)["k"] == []
+    found = heavy_keys(df, "k", "j", min_rows=50)
+    assert found["k"].count() == 10
+    assert sorted(r[0] for r in found["j"].collect()) == [0, 1]
+    assert heavy_keys(df, "k", min_rows=100)["k"] is None
+
+
+@pytest.mark.parametrize("heavy_rows", [10**9, 150, 0])
+def test_rows_without_time_or_key_stand_alone(spark, heavy_rows):
+    """They change no other row and get fixed results, the same in both forms."""
+    from decimal import Decimal
+
+    rng = random.Random(5)
+    rows = [
+        (i, i % 3 and 1, rng.randrange(3 * DAY), rng.choice(["a", "b", None]), Decimal(1))
+        for i in range(300)
+    ]
+    odd = [
+        (1000 + i, rng.choice([0, 1, None]), None, rng.choice(["a", "b", None]), Decimal(1))
+        for i in range(40)
+    ]
+    odd += [(2000 + i, None, rng.randrange(3 * DAY), "a", Decimal(1)) for i in range(20)]
+    got = computed(spark, rows + odd, heavy_rows)
+    for i, expected in brute_force(rows).items():
+        assert {n: got[i][n] for n in expected} == expected, i
+    for row in odd:
+        r = got[row[0]]
+        assert (r["count_1h"], r["amount_24h"], r["values_24h"]) == (0, 0, 0)
+        assert r["gap"] is None and r["is_new"] == 1
+
+
+@pytest.mark.parametrize("heavy_rows", [10**9, 0])
+def test_equal_ids_of_one_second(spark, heavy_rows):
+    from decimal import Decimal
+
+    rows = [(1, 1, 0, "a", Decimal(1)), (2, 1, 600, "a", Decimal(1)), (2, 1, 600, "a", Decimal(1))]
+    df = sliding(frame(spark, rows), "k", "t", "id", MEASURES, heavy_rows=heavy_rows)
+    assert sorted(r["gap"] for r in df.filter("id = 2").collect()) == [0, 600]

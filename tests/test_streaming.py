@@ -101,6 +101,27 @@ def test_repeats_retries_and_late_rows(spark, stores, merchants):
     run(spark, stores, merchants, 4, "junk")  # nor does one without a usable row
 
 
+def test_a_new_checkpoint_overwrites_nothing(spark, stores, merchants):
+    """Batch 0 of a second run leaves batch 0 of the first as it is, and counts on it."""
+    run(spark, stores, merchants, 0, *[message(i, f"2024-01-02 10:0{i}:00") for i in (1, 2)], run="a")
+    run(spark, stores, merchants, 0, message(3, "2024-01-02 10:30:00"), run="b")
+    run(spark, stores, merchants, 0, message(1, "2024-01-05 10:00:00"), run="c")  # known by its id
+    assert spark.read.parquet(stores.history).count() == 3
+    got = features(spark, stores)
+    assert sorted(got) == ["1", "2", "3"] and got["3"]["user_transaction_count_1h"] == 3
+
+
+def test_the_run_is_kept_with_the_checkpoint(spark, tmp_path):
+    first = R.run_of(spark, str(tmp_path / "state"))
+    assert R.run_of(spark, str(tmp_path / "state")) == first
+    assert R.run_of(spark, str(tmp_path / "other")) != first
+
+
+def test_a_far_date_lists_no_folders(spark, stores, merchants):
+    run(spark, stores, merchants, 0, message(1, "2024-01-02 10:00:00"), message(2, "9999-12-30"))
+    assert sorted(features(spark, stores)) == ["1", "2"]
+
+
 def test_other_users_of_the_device_count(spark, stores, merchants):
     run(spark, stores, merchants, 0, message(1, "2024-01-02 10:00:00", user=1))
     run(spark, stores, merchants, 1, message(2, "2024-01-02 11:00:00", user=2), heavy_rows=0)
@@ -121,7 +142,7 @@ def test_old_history_is_thinned_without_effect(spark, stores, merchants):
     assert got["later"]["seconds_since_last_transaction"] == 29 * 86400
     assert got["later"]["is_new_merchant_category"] == 0
     history = spark.read.parquet(stores.history).withColumn("merchant_category", F.lit("x"))
-    border = spark.sql("select timestamp'2024-02-01'").first()[0]
+    border = F.lit("2024-02-01").cast("timestamp")
     assert R.thinned(history, border).count() == 3
 
 

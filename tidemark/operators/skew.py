@@ -7,42 +7,37 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import materialize
+
 # A key with more rows than this is processed in time slices instead of as one group.
 HEAVY_KEY_ROWS = 2_000_000
 
-# Upper bound on the number of keys sent to the driver and broadcast. Keys beyond the heaviest
-# N hold less than 1/N of the rows each; they take the ordinary path, so no row is ever lost.
-MAX_HEAVY_KEYS = 100_000
-
 
 def heavy_keys(
-    df: DataFrame,
-    *keys: str,
-    min_rows: int = HEAVY_KEY_ROWS,
-    max_keys: int = MAX_HEAVY_KEYS,
-) -> dict[str, list]:
-    """Per key column the values with more than ``min_rows`` rows, at most ``max_keys`` of them,
-    heaviest first.
-
-    Only the key columns are scanned, counts are combined before the shuffle, and one job collects
-    the short lists.
+    df: DataFrame, *keys: str, min_rows: int = HEAVY_KEY_ROWS
+) -> dict[str, DataFrame | None]:
+    """Per key column the values with more than ``min_rows`` rows as a frame, None if there are none.
+
+    Only the key columns are scanned and counts are combined before the shuffle. The lists are
+    written once and stay frames, however long they are.
     """
     lists = [
         df.filter(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .filter(F.col("_rows") > min_rows)
-        .orderBy(F.desc("_rows"), key)
-        .limit(max_keys)
         .select(F.lit(key).alias("_key"), key)
         for key in keys
     ]
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), lists).collect()
-    return {key: [r[key] for r in rows if r["_key"] == key] for key in keys}
-
-
-def split_heavy(df: DataFrame, key: str, keys: list) -> tuple[DataFrame, DataFrame]:
-    """(rows of other keys, rows of heavy keys). ``keys`` is bounded, see ``heavy_keys``."""
-    schema = f"`{key}` {df.schema[key].dataType.simpleString()}"
-    listed = F.broadcast(df.sparkSession.createDataFrame([(k,) for k in keys], schema))
-    return df.join(listed, key, "left_anti"), df.join(listed, key, "left_semi")
+    found = materialize(
+        reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), lists)
+    )
+    held = {r["_key"] for r in found.select("_key").distinct().collect()}  # one row per key column
+    return {
+        key: found.filter(F.col("_key") == key).select(key) if key in held else None for key in keys
+    }
+
+
+def split_heavy(df: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of other keys, rows of heavy keys). Spark picks the join by the size of the list."""
+    return df.join(keys, key, "left_anti"), df.join(keys, key, "left_semi")

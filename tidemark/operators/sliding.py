@@ -73,28 +73,46 @@ def sliding(
     time: str,
     row_id: str,
     measures: Sequence[Measure],
-    heavy: list | None = None,
+    heavy: dict[str, DataFrame | None] | None = None,
     heavy_rows: int = HEAVY_KEY_ROWS,
     source: DataFrame | None = None,
 ) -> DataFrame:
     """Append one column per measure. ``time`` is a column of whole seconds.
 
-    ``heavy`` lists the keys to process in slices; by default they are looked up in ``df``.
+    A row without a time or without a key stands alone: it changes no other row, its sums and
+    distinct counts are 0, its gap is NULL and its value is new. Rows of one second that share an id
+    are ordered among each other, so only one of them has the gap to the second before.
+
+    ``heavy`` holds the keys to process in slices; by default they are looked up in ``df``.
     ``source`` may name a cheaper frame of the same rows to read heavy keys' measures from, when
     ``df`` is itself the outcome of other work.
     """
     source = df if source is None else source
     if heavy is None:
-        heavy = heavy_keys(source, key, min_rows=heavy_rows)[key]
-    if not heavy:
+        heavy = heavy_keys(source, key, min_rows=heavy_rows)
+    listed = heavy[key]
+    if listed is None:
         return _windowed(df, key, time, row_id, measures)
-    light, dense = split_heavy(df, key, heavy)
-    _, dense_source = split_heavy(source, key, heavy)
+    light, dense = split_heavy(df, key, listed)
+    _, dense_source = split_heavy(source, key, listed)
     return _windowed(light, key, time, row_id, measures).unionByName(
         _sliced(dense, dense_source, key, time, row_id, measures)
     )
 
 
+def _framed(key: str, time: str) -> F.Column:
+    return F.col(key).isNotNull() & F.col(time).isNotNull()
+
+
+def _alone(key: str, time: str, measures: Sequence[Measure]) -> dict[str, F.Column]:
+    """The measures as they are for rows with a frame, and what stands for them without one."""
+    without = {
+        m.name: F.lit(None) if isinstance(m, Gap) else F.lit(1 if isinstance(m, Novelty) else 0)
+        for m in measures
+    }
+    return {n: F.when(_framed(key, time), F.col(n)).otherwise(v) for n, v in without.items()}
+
+
 def _of(measures: Sequence[Measure], kind: type) -> list:
     return [m for m in measures if isinstance(m, kind)]
 
@@ -119,21 +137,27 @@ def _windowed(
     df: DataFrame, key: str, time: str, row_id: str, measures: Sequence[Measure]
 ) -> DataFrame:
     columns = df.columns
-    # Hash partitioning by key also serves every window by (key, value): no further exchange.
-    df = df.repartition(F.col(key))
+    # Rows without a frame are groups of their own, which also spreads rows without a key. Hash
+    # partitioning by key and this serves every window by (key, value): no further exchange.
+    df = df.withColumn("_odd", F.when(~_framed(key, time), F.col(row_id)))
+    df = df.repartition(F.col(key), F.col("_odd"))
 
     before = Window.unboundedPreceding
     beside = {}
     for i, column in enumerate(_value_columns(measures)):
-        w = Window.partitionBy(key, column).orderBy(time)
+        w = Window.partitionBy(key, "_odd", column).orderBy(time)
         if any(m.column == column for m in _of(measures, FrameDistinct)):
             beside[f"_prev{i}"] = F.lag(time).over(w)
             beside[f"_next{i}"] = F.lead(time).over(w)
         if any(m.column == column for m in _of(measures, Novelty)):
             beside[f"_seen{i}"] = F.max(time).over(w.rangeBetween(before, -1))
     df = df.withColumns(beside)
+    if _of(measures, Gap):
+        # Sorted by time and id, which serves the frames over time below as well.
+        same = Window.partitionBy(key, "_odd", time).orderBy(row_id)
+        df = df.withColumn("_nth", F.row_number().over(same))
 
-    w = Window.partitionBy(key).orderBy(time)
+    w = Window.partitionBy(key, "_odd").orderBy(time)
     index = {c: i for i, c in enumerate(_value_columns(measures))}
     running: dict[str, F.Column] = {}
     result: dict[str, F.Column] = {}
@@ -157,10 +181,8 @@ def _windowed(
                 w.rangeBetween(before, -(m.seconds + 1))
             )
         elif isinstance(m, Gap):
-            # By frames over time rather than by lag over (time, row id): no sort of its own.
             running["_before"] = F.max(time).over(w.rangeBetween(before, -1))
-            running["_first"] = F.min(row_id).over(w.rangeBetween(0, 0))
-            is_first = F.col(row_id) == F.col("_first")
+            is_first = F.col("_nth") == 1
             result[m.name] = F.when(is_first, F.col(time) - F.col("_before")).otherwise(0)
             continue
         else:
@@ -170,7 +192,12 @@ def _windowed(
             continue
         result[m.name] = F.coalesce(F.col(total), F.lit(0)) - F.coalesce(F.col(left), F.lit(0))
 
-    return df.withColumns(running).withColumns(result).select(*columns, *result)
+    return (
+        df.withColumns(running)
+        .withColumns(result)
+        .withColumns(_alone(key, time, measures))
+        .select(*columns, *result)
+    )
 
 
 # --------------------------------------------------------------------------------- heavy keys
@@ -263,6 +290,7 @@ def _sliced(
     measures: Sequence[Measure],
 ) -> DataFrame:
     columns = df.columns
+    source = source.filter(_framed(key, time))
     sums, distincts = _of(measures, FrameSum), _of(measures, FrameDistinct)
     gaps, novelties = _of(measures, Gap), _of(measures, Novelty)
     additive = [m.name for m in (*sums, *distincts)]
@@ -271,25 +299,23 @@ def _sliced(
     # One row per key and second, combined before the shuffle.
     ledger = source.groupBy(key, time).agg(
         *[F.coalesce(F.sum(F.expr(m.expression)), F.lit(0)).alias(m.name) for m in sums],
-        F.min(row_id).alias("_first"),
+        F.lit(True).alias("_any"),
     )
     types = {f.name: f.dataType for f in ledger.schema.fields}
-    id_type = types["_first"]
 
     def change(at: F.Column, values: dict[str, F.Column]) -> F.Column:
-        """What happens at one second: additions per measure, first row id, previous second."""
+        """What happens at one second: additions per measure, previous second."""
         null = F.lit(None)
         return F.struct(
             at.alias(time),
             *[
                 values.get(n, F.lit(0)).cast(types.get(n, "bigint")).alias(n) for n in additive
             ],
-            values.get("_first", null).cast(id_type).alias("_first"),
             values.get("_prev", null).cast("bigint").alias("_prev"),
         )
 
     # A second enters every frame when it happens and leaves each one when that frame has passed.
-    arrival = {m.name: F.col(m.name) for m in sums} | {"_first": F.col("_first")}
+    arrival = {m.name: F.col(m.name) for m in sums}
     steps = [change(F.col(time), arrival)]
     for length in sorted({m.seconds for m in sums}):
         leaving = {m.name: -F.col(m.name) for m in sums if m.seconds == length}
@@ -342,17 +368,16 @@ def _sliced(
         .groupBy(key, time)
         .agg(
             *[F.sum(n).alias(n) for n in additive],
-            F.min("_first").alias("_first"),
             F.max("_prev").alias("_prev"),
         )
     )
     # Read twice below; at most one row per key and second, so cheap to keep.
-    totals = _running_totals(materialize(merged), key, time, additive, ["_first", "_prev"])
+    totals = _running_totals(materialize(merged), key, time, additive, ["_prev"])
     result = df.join(totals, [key, time], "left")
     for m in gaps:
-        result = result.withColumn(
-            m.name,
-            F.when(F.col(row_id) == F.col("_first"), F.col(time) - F.col("_prev")).otherwise(0),
+        same = Window.partitionBy(key, time).orderBy(row_id)
+        result = result.withColumn("_nth", F.row_number().over(same)).withColumn(
+            m.name, F.when(F.col("_nth") == 1, F.col(time) - F.col("_prev")).otherwise(0)
         )
     for m in novelties:
         known = successions.filter(
@@ -369,4 +394,6 @@ def _sliced(
             .withColumn(m.name, F.when(F.col("_known"), 0).otherwise(1))
             .drop("_known", "_known_value")
         )
-    return result.select(*columns, *[m.name for m in measures])
+    return result.withColumns(_alone(key, time, measures)).select(
+        *columns, *[m.name for m in measures]
+    )

@@ -182,9 +182,9 @@ def _compute(
         rows = with_payment_created(rows, payment_methods)
     kept = [c for c in rows.columns if c not in (TIME, PAYMENT_TIME)]
     if by_user:
-        rows = sliding(rows, "user_id", TIME, ROW_ID, by_user, heavy["user_id"], source=source)
+        rows = sliding(rows, "user_id", TIME, ROW_ID, by_user, heavy, source=source)
     if by_device:
-        rows = sliding(rows, "device_id", TIME, ROW_ID, by_device, heavy["device_id"], source=source)
+        rows = sliding(rows, "device_id", TIME, ROW_ID, by_device, heavy, source=source)
 
     derived = {name: column for g in groups for name, column in g.derived().items()}
     outputs = [name for g in groups for name in g.outputs]

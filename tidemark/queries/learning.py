@@ -365,9 +365,8 @@ def _trained(fx, name: str, **options):
 
 @query("l04_boosted_trees")
 def _(fx):
-    """Trained on the training part, then all transactions scored. Fewer rounds than the default
-    200, each of which is several Spark jobs whatever the size of the data."""
-    return _trained(fx, "gbt", settings={"maxIter": 10})
+    """Trained on the training part, then all transactions scored."""
+    return _trained(fx, "gbt")
 
 
 @query("l05_random_forest")
@@ -384,7 +383,7 @@ def _(fx):
 def _(fx):
     """Both class probabilities and the prediction at the stored threshold."""
     features = feature_table(fx)
-    model = L.with_threshold(L.train(features, "rf", settings={"numTrees": 20}), 0.3)
+    model = L.with_threshold(L.train(features, "rf"), 0.3)
     scored = L.score(model, features)
     return M.predictions(
         scored.select(
@@ -399,5 +398,5 @@ def _(fx):
 
 @query("k08_top_importances")
 def _(fx):
-    model = L.train(feature_table(fx), "rf", settings={"numTrees": 20})
+    model = L.train(feature_table(fx), "rf")
     return L.top_importances(model, fx.spark, L.input_names())

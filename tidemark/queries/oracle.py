@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tidemark import schemas as S
-from tidemark.sources.fixture import FX_RATES, KNOWN_MERCHANTS, METHODS, PROVIDERS
+from tidemark.sources.fixture import FIRST_UNKNOWN, FX_RATES, METHODS, PROVIDERS, UNKNOWN_OFFSET
 
 
 def _list(values) -> str:
@@ -25,7 +25,7 @@ VIEWS = {
              {COUNTRIES}[k % 8 + 1] as country,
              case when event_type in ('click','purchase','error')
                   then 'Online' else 'Local' end as channel,
-             user_id, k as merchant_id, user_id * 4 + k % 4 as payment_id,
+             user_id, case when k < {FIRST_UNKNOWN} then k else k + {UNKNOWN_OFFSET} end as merchant_id, user_id * 4 + k % 4 as payment_id,
              user_id // 3 as device_id,
              case when event_type = 'error' and value < 10 then 1 else 0 end as is_fraudulent,
              case when event_type = 'error' and value < 10
@@ -37,7 +37,7 @@ VIEWS = {
              case when p_size < 10 then 'Unknown' when p_size < 30 then 'Mid'
                   else 'Renowned' end as rating,
              {CATEGORIES}[p_partkey % 8 + 1] as category
-      from part where p_partkey < {KNOWN_MERCHANTS}""",
+      from part""",
     "pm": f"""
       select payment_id as payment_method_id, min(user_id) as user_id,
              {_list(METHODS)}[payment_id % 4 + 1] as payment_method,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -20,7 +20,7 @@ ARRIVALS = (None, "2024-01-16", None)
 def shared_folder(spark, name: str) -> str:
     """A new folder below the one every executor reaches."""
     root = checkpoint_root(spark)
-    return f"{root.rstrip('/')}/{name}-{next(tempfile._get_candidate_names())}"
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def replay(fx, heavy_rows=None) -> tuple[R.Stores, str]:
@@ -61,6 +61,21 @@ def stream_replay(fx):
     return all_feature_columns(fx.spark.read.parquet(stores.features))
 
 
+@query(
+    "s09_history_across_runs",
+    "select cast(transaction_id as varchar) as transaction_id, user_id from tx",
+    "tx",
+)
+def _(fx):
+    """Two runs that both count from batch 0 keep all their transactions."""
+    root = shared_folder(fx.spark, "runs")
+    even = F.col("transaction_id") % 2 == 0
+    for run, part in (("a", fx.transactions().filter(even)), ("b", fx.transactions().filter(~even))):
+        parsed = R.parsed_messages(M.to_messages(part, fx.payment_methods()).select("value"))
+        R.append_history(M.valid(parsed), f"{root}/history", 0, run)
+    return fx.spark.read.parquet(f"{root}/history").select(R.ID, "user_id")
+
+
 @query(
     "p17_alert_records",
     """select transaction_id, user_id, score as fraud_probability, 'gbt' as model_name,

@@ -41,9 +41,16 @@ def create_session(
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a fresh folder only where unset."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Where it is unset a local master gets a fresh folder; on a cluster a folder of the driver's
+    machine would be out of the executors' reach, so that is an error.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set spark.checkpoint.dir to a shared folder for master {master}")
         root = tempfile.mkdtemp(prefix="tidemark-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root

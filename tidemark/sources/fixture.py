@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 
-# Merchants above this key are left out on purpose, so that lookups have something to miss.
-KNOWN_MERCHANTS = 95
+# Transactions whose k is at least FIRST_UNKNOWN name a merchant this far off, which no merchant
+# has, so that lookups have something to miss.
+FIRST_UNKNOWN, UNKNOWN_OFFSET = 95, 1_000_000_000
 
 METHODS = ("credit_card", "debit_card", "bank_transfer", "crypto_currency")
 PROVIDERS = ("Renowned", "Mid")
@@ -59,7 +60,9 @@ class Fixture:
             .otherwise(S.LOCAL)
             .alias("transaction_channel"),
             "user_id",
-            F.col("k").cast("long").alias("merchant_id"),
+            F.when(F.col("k") < FIRST_UNKNOWN, F.col("k").cast("long"))
+            .otherwise(F.col("k") + F.lit(UNKNOWN_OFFSET).cast("long"))
+            .alias("merchant_id"),
             (F.col("user_id") * 4 + F.col("k") % 4).alias("payment_id"),
             F.expr("user_id div 3").alias("device_id"),
             fraud.cast("int").alias("is_fraudulent"),
@@ -69,7 +72,6 @@ class Fixture:
     def merchants(self) -> DataFrame:
         return (
             self.raw("part")
-            .filter(F.col("p_partkey") < KNOWN_MERCHANTS)
             .select(
                 F.col("p_partkey").alias("merchant_id"),
                 F.col("p_name").alias("merchant_name"),

@@ -1,19 +1,21 @@
 """Scoring a stream of transaction messages with the batch job's feature functions.
 
 Each micro-batch stays a DataFrame from parsing to alerts. The history of past transactions is a
-parquet table laid out by event date and batch; a batch rewrites its own partitions, so running it
-again after a failure changes nothing. Features of a new transaction need its user's and its
-device's last 30 days only, so only those dates are listed and only touched keys are kept.
+parquet table laid out by event date, run and batch; a batch rewrites its own partitions, so running
+it again after a failure changes nothing. The run is kept with the checkpoint: a query that starts from
+a new checkpoint counts its batches from 0 again, in folders of its own. Features of a new transaction
+need its user's last 30 days and its device's last day only, so only those are kept.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import date, datetime, timedelta
+from datetime import date, timedelta
+from uuid import uuid4
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +29,8 @@ from tidemark.sources import messages as M
 ID = "transaction_id"
 _LATEST_FRAME_DAYS = S.LONGEST_LOOKBACK // S.DAY
 _LONGEST_SUM_DAYS = 7
+_DEVICE_DAYS = 1
+FIRST_RUN = "first"
 
 
 @dataclass(frozen=True)
@@ -63,45 +67,77 @@ def _transactions(df: DataFrame) -> DataFrame:
     )
 
 
-def append_history(transactions: DataFrame, history: str, batch_id: int) -> None:
-    """Store transactions under their event date and batch, replacing what the batch wrote before."""
+def _file_system(spark: SparkSession, path: str):
+    context = spark.sparkContext
+    found = context._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(context._jsc.hadoopConfiguration()), found
+
+
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the run that a checkpoint belongs to, made when the checkpoint is new."""
+    files, path = _file_system(spark, f"{checkpoint}/tidemark-run")
+    if files.exists(path):
+        source = files.open(path)
+        try:
+            return source.readUTF()
+        finally:
+            source.close()
+    run = uuid4().hex
+    sink = files.create(path, False)
+    try:
+        sink.writeUTF(run)
+    finally:
+        sink.close()
+    return run
+
+
+def append_history(
+    transactions: DataFrame, history: str, batch_id: int, run: str = FIRST_RUN
+) -> None:
+    """Store transactions under event date, run and batch, replacing what the batch wrote before."""
     (
         _transactions(transactions)
         .withColumns(
-            {"event_date": F.to_date("transaction_timestamp"), "batch_id": F.lit(batch_id)}
+            {
+                "event_date": F.to_date("transaction_timestamp"),
+                "run": F.lit(run),
+                "batch_id": F.lit(batch_id),
+            }
         )
         .hint("rebalance", "event_date")
         .sortWithinPartitions("event_date", "batch_id", "user_id")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date", "batch_id")
+        .partitionBy("event_date", "run", "batch_id")
         .parquet(history)
     )
 
 
 def read_history(spark: SparkSession, history: str, first: date, last: date) -> DataFrame | None:
-    """The stored transactions of a range of dates; only those folders are listed."""
-    days = ",".join(str(first + timedelta(days=i)) for i in range((last - first).days + 1))
-    pattern = f"{history}/event_date={{{days}}}"
-    context = spark.sparkContext
-    path = context._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(path)
-    if found is None or len(found) == 0:
+    """The stored transactions of a range of dates; of dates that exist only those are listed."""
+    files, path = _file_system(spark, f"{history}/event_date=*")
+    names = [entry.getPath().getName() for entry in files.globStatus(path) or ()]
+    days = sorted(n.partition("=")[2] for n in names)
+    days = [d for d in days if str(first) <= d <= str(last)]
+    if not days:
         return None
     schema = T.StructType(
         [
             *[T.StructField(f.name, f.dataType) for f in S.TRANSACTIONS.fields],
             T.StructField("event_date", T.DateType()),
+            T.StructField("run", T.StringType()),
             T.StructField("batch_id", T.LongType()),
         ]
     )
-    return spark.read.schema(schema).option("basePath", history).parquet(pattern)
+    paths = [f"{history}/event_date={day}" for day in days]
+    return spark.read.schema(schema).option("basePath", history).parquet(*paths)
 
 
-def _repeats(known: DataFrame, incoming: DataFrame, batch_id: int) -> DataFrame:
-    """Ids of the batch that earlier batches stored. The batch is the small side of this join, so
+def _repeats(known: DataFrame, incoming: DataFrame, run: str, batch_id: int) -> DataFrame:
+    """Ids of the batch that other batches and runs stored. The batch is the small side of this join, so
     what remains of the stored ids is small as well."""
-    earlier = known.filter(F.col("batch_id") != batch_id).select(ID)
+    own = (F.col("run") == run) & (F.col("batch_id") == batch_id)
+    earlier = known.filter(~own).select(ID)
     return earlier.join(incoming.select(ID), ID, "left_semi")
 
 
@@ -115,14 +151,35 @@ def touched_history(history: DataFrame, incoming: DataFrame) -> DataFrame:
     return by_user.unionByName(by_device).dropDuplicates([ID])
 
 
-def thinned(history: DataFrame, earliest: datetime) -> DataFrame:
-    """Only the rows that can matter to transactions from ``earliest`` on.
+def needed_history(history: DataFrame, incoming: DataFrame) -> DataFrame:
+    """Stored rows that features of the batch depend on, each once.
+
+    A user's rows are thinned up to the user's own earliest new transaction, so that a late row of
+    one user does not bring back the history of all; a device's rows reach back one day only.
+    """
+
+    def earliest(key: str) -> DataFrame:
+        return incoming.groupBy(key).agg(F.min("transaction_timestamp").alias("_earliest"))
+
+    mine = history.join(earliest("user_id"), "user_id")
+    by_user = thinned(mine, F.col("_earliest")).drop("_earliest")
+    since = F.col("_earliest") - F.expr(f"INTERVAL {_DEVICE_DAYS} DAYS 1 SECOND")
+    by_device = (
+        history.join(earliest("device_id"), "device_id")
+        .filter(F.col("transaction_timestamp") >= since)
+        .drop("_earliest")
+    )
+    return by_user.unionByName(by_device).dropDuplicates([ID])
+
+
+def thinned(history: DataFrame, earliest: Column) -> DataFrame:
+    """Only the rows that can matter to transactions from ``earliest`` on, one moment or one per user.
 
     Sums and distinct counts look back seven days at most. Of what is older, only the time since
     the last transaction and the 30-day novelty of a category depend, and for both the latest old
     row per user and category is enough; it is found with map-side combine.
     """
-    border = F.lit(earliest) - F.expr(f"INTERVAL {_LONGEST_SUM_DAYS} DAYS 1 SECOND")
+    border = earliest - F.expr(f"INTERVAL {_LONGEST_SUM_DAYS} DAYS 1 SECOND")
     is_recent = F.col("transaction_timestamp") >= border
     latest_old = (
         history.filter(~is_recent)
@@ -156,9 +213,8 @@ def batch_features(
     )
     # Old rows are read and shuffled in the few columns that features need; what else a
     # transaction carries comes from the batch itself.
-    rows = touched_history(history.select(ID, *HISTORY_COLUMNS), incoming)
-    earliest = incoming.agg(F.min("transaction_timestamp")).first()[0]
-    rows = thinned(with_merchant_category(rows, merchants), earliest)
+    stored = with_merchant_category(history.select(ID, *HISTORY_COLUMNS), merchants)
+    rows = needed_history(stored, incoming)
     computed = all_features(rows, merchants, created, heavy_rows)
     rest = _transactions(incoming).drop(*HISTORY_COLUMNS)
     return computed.join(rest, ID)
@@ -186,15 +242,19 @@ def process_batch(
     model_name: str = "gbt",
     publish: Callable[[DataFrame], None] | None = None,
     heavy_rows: int = HEAVY_KEY_ROWS,
+    run: str = FIRST_RUN,
 ) -> None:
-    """Quarantine, store, compute features, score, alert. Safe to repeat for the same batch id."""
+    """Quarantine, store, compute features, score, alert. Safe to repeat for the same run and batch.
+
+    An id that was stored before is known again if its time lies up to 30 days after the stored one.
+    """
     spark = batch.sparkSession
     batch = batch.persist()
     try:
         if batch.isEmpty():
             return
         M.rejected(batch).write.mode("overwrite").parquet(
-            f"{stores.quarantine}/batch_id={batch_id}"
+            f"{stores.quarantine}/run={run}/batch_id={batch_id}"
         )
         usable = M.valid(batch).dropDuplicates([ID])
         span = usable.agg(
@@ -203,34 +263,34 @@ def process_batch(
         ).first()
         if span["first"] is None:
             return
-        known = read_history(spark, stores.history, span["first"], span["last"])
+        start = span["first"] - timedelta(days=_LATEST_FRAME_DAYS)
+        known = read_history(spark, stores.history, start, span["last"])
         if known is not None:
-            usable = usable.join(_repeats(known, usable, batch_id), ID, "left_anti")
+            usable = usable.join(_repeats(known, usable, run, batch_id), ID, "left_anti")
         usable = usable.persist()
         try:
             if usable.isEmpty():
                 return
-            append_history(usable, stores.history, batch_id)
-            start = span["first"] - timedelta(days=_LATEST_FRAME_DAYS)
+            append_history(usable, stores.history, batch_id, run)
             history = read_history(spark, stores.history, start, span["last"])
             features = batch_features(history, usable, merchants, heavy_rows)
-            _emit(features, batch_id, stores, model, model_name, publish)
+            _emit(features, f"run={run}/batch_id={batch_id}", stores, model, model_name, publish)
         finally:
             usable.unpersist()
     finally:
         batch.unpersist()
 
 
-def _emit(features, batch_id, stores, model, model_name, publish) -> None:
+def _emit(features, folder, stores, model, model_name, publish) -> None:
     if stores.features:
-        path = f"{stores.features}/batch_id={batch_id}"
+        path = f"{stores.features}/{folder}"
         features.write.mode("overwrite").parquet(path)
         # Read back what was written, so that scoring does not compute the features again.
         features = features.sparkSession.read.schema(features.schema).parquet(path)
     if model is None:
         return
     found = alerts(score(model, features), model_name, alert_threshold(model))
-    path = f"{stores.alerts}/batch_id={batch_id}"
+    path = f"{stores.alerts}/{folder}"
     found.write.mode("overwrite").parquet(path)
     if publish is not None:
         publish(found.sparkSession.read.schema(found.schema).parquet(path))
@@ -249,11 +309,12 @@ def start_scoring(
 ):
     """Start the scoring query over raw messages; wait on the returned query to keep it running."""
     parsed = parsed_messages(raw)
+    run = run_of(raw.sparkSession, stores.checkpoint)
     if watermark:
         parsed = without_repeats(parsed, watermark)
     writer = parsed.writeStream.option("checkpointLocation", stores.checkpoint).foreachBatch(
         lambda df, batch_id: process_batch(
-            df, batch_id, stores, merchants, model, model_name, publish, heavy_rows
+            df, batch_id, stores, merchants, model, model_name, publish, heavy_rows, run
         )
     )
     if available_now:
