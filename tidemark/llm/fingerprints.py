@@ -71,7 +71,8 @@ def _collapse_runs(names: np.ndarray, heads: np.ndarray, begins: np.ndarray):
 def _cuts(names: np.ndarray, heads: np.ndarray, tosses: int) -> np.ndarray:
     """Starts of the phrases; no two neighbours of a text are equal."""
     differ = names[1:] ^ names[:-1]
-    place = np.bitwise_count((differ & (~differ + np.uint64(1))) - np.uint64(1))
+    # Equal names meet only where one text ends and the next begins; those labels are not used.
+    place = np.minimum(np.bitwise_count((differ & (~differ + np.uint64(1))) - np.uint64(1)), 63)
     labels = np.zeros(len(names), np.uint8)
     labels[1:] = 2 * place + ((names[1:] >> place.astype(np.uint64)).astype(np.uint8) & 1)
     second = heads[:-1][np.diff(heads) > 1] if len(heads) > 1 else heads[:0]
