@@ -6,7 +6,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.functions.encode import binary, found_values
+from pyspark.ml.functions import vector_to_array
+
+from tidemark.functions.encode import binary, one_hot_found
 from tidemark.plans import dataset as D
 from tidemark.plans import evaluate as V
 from tidemark.plans import metrics as M
@@ -28,9 +30,15 @@ def test_binary_maps_are_checked(spark):
             binary(F.lit("a"), bad)
 
 
-def test_too_many_values_are_refused(spark):
-    with pytest.raises(ValueError):
-        found_values(spark.range(20).select(F.col("id").cast("string").alias("c")), "c", limit=10)
+def test_many_values_become_one_vector(spark):
+    """Both forms say the same: entry i of the vector is the column of the i-th value."""
+    df = spark.range(21).select("id", F.when(F.col("id") < 20, F.format_string("v%02d", "id")).alias("c"))
+    wide = {r["id"]: r for r in one_hot_found(df, "c").collect()}
+    narrow = one_hot_found(df, "c", most_columns=10)
+    assert narrow.columns == ["id", "c_vector"]
+    for r in narrow.select("id", vector_to_array("c_vector").alias("v")).collect():
+        assert [int(x) for x in r["v"]] == [wide[r["id"]][f"c_v{i:02d}"] for i in range(20)]
+        assert sum(r["v"]) == (r["id"] < 20)
 
 
 def scored(spark, pairs):
@@ -157,12 +165,12 @@ def test_train_save_load_score(spark, features, tmp_path, name, smote):
 
 
 def test_evaluate_and_importances(spark, features, tmp_path):
-    model = L.train(features, "rf", include_status=True, settings=SMALL["rf"])
+    model = L.train(features, "rf", D.Options(include_status=True), settings=SMALL["rf"])
     table = V.evaluate_models({"rf": model}, features).persist()
     assert [r["kind"] for r in table.collect()] == ["default", "best"]
     write_metrics(table, str(tmp_path / "metrics"))
     assert spark.read.option("header", True).csv(str(tmp_path / "metrics")).count() == 2
-    top = L.top_importances(model, spark, L.input_names(include_status=True)).collect()
+    top = L.top_importances(model, spark, L.input_names(D.Options(include_status=True))).collect()
     assert len(top) == 20 and top[0]["importance"] >= top[-1]["importance"]
     assert V.best_threshold_of(model, features) in [r["threshold"] for r in table.collect()]
 

@@ -164,6 +164,12 @@ def test_alerts_are_written_and_published(spark, stores, merchants):
     written = spark.read.parquet(stores.alerts).collect()
     assert [r["transaction_id"] for r in written] == ["1"] == [r["transaction_id"] for r in sent]
     assert written[0]["model_name"] == "rf" and 0 <= written[0]["fraud_probability"] <= 1
+    # ids go on from batch to batch, and a batch that is run again gives the same ones
+    second = [message(i, f"2024-01-02 11:0{i}:00") for i in (2, 3)]
+    for _ in range(2):
+        run(spark, stores, merchants, 1, *second, model=model, model_name="rf")
+    ids = {r["transaction_id"]: r["alert_id"] for r in R.stored_alerts(spark, stores.alerts).collect()}
+    assert ids == {"1": 1, "2": 2, "3": 3}
 
 
 def test_a_score_at_the_threshold_alerts(spark):

@@ -3,6 +3,7 @@
 import json
 from unittest.mock import MagicMock
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
@@ -89,3 +90,14 @@ def test_nothing_to_deactivate(spark):
     none = spark.createDataFrame([], "payment_method_id bigint")
     assert U.deactivated_rows(methods, none).isEmpty()
     assert U.deactivate(methods, none).first()["payment_is_active"] == 1
+
+
+def test_snapshots_leave_the_last_complete_one(spark, tmp_path):
+    root = str(tmp_path)
+    with pytest.raises(FileNotFoundError):
+        T.read_snapshot(spark, root, "t")
+    T.write_snapshot(root, "t", spark.range(3))
+    T.write_snapshot(root, "t", T.read_snapshot(spark, root, "t").filter("id > 0"))
+    (tmp_path / "t" / "version=3").mkdir()  # a write that failed
+    assert sorted(r[0] for r in T.read_snapshot(spark, root, "t").collect()) == [1, 2]
+    assert T.write_snapshot(root, "t", spark.range(1)).endswith("version=4")

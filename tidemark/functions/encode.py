@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_ONE_HOT_VALUES = 1_000
+#: Values up to which a one-hot encoding is a column each; beyond, one sparse vector holds them.
+ONE_HOT_COLUMNS = 1_000
 
 
 def check_binary_map(values: Mapping[str, int]) -> None:
@@ -39,18 +41,30 @@ def one_hot(df: DataFrame, column: str, values: Sequence[str], keep: bool = Fals
     return df.select(*[F.col(f"`{c}`") for c in kept], *flags)
 
 
-def found_values(df: DataFrame, column: str, limit: int = MAX_ONE_HOT_VALUES) -> list[str]:
-    """The sorted values of a column, refused if there are too many to become columns."""
+def found_values(df: DataFrame, column: str) -> list[str]:
+    """The sorted values of a categorical column, which are to become columns or names."""
     distinct = df.filter(F.col(column).isNotNull()).select(column).distinct()
-    rows = distinct.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} values; index it instead")
-    return sorted(row[0] for row in rows)
-
-
-def one_hot_found(df: DataFrame, column: str) -> DataFrame:
-    """One-hot columns for whatever values the data hold."""
-    return one_hot(df, column, found_values(df, column))
+    return sorted(row[0] for row in distinct.collect())
+
+
+def one_hot_found(df: DataFrame, column: str, most_columns: int = ONE_HOT_COLUMNS) -> DataFrame:
+    """One-hot encoding for whatever values the data hold.
+
+    Up to ``most_columns`` values give a 0/1 column each. More give one sparse vector column
+    ``<column>_vector`` with an entry per value in alphabetical order, all 0 for NULL.
+    """
+    known = df.filter(F.col(column).isNotNull())
+    width = known.select(column).distinct().limit(most_columns + 1).count()
+    if width <= most_columns:
+        return one_hot(df, column, found_values(df, column))
+    index, vector = f"_{column}_index", f"{column}_vector"
+    indexer = StringIndexer(
+        inputCol=column, outputCol=index, stringOrderType="alphabetAsc", handleInvalid="keep"
+    ).fit(known)
+    # NULL takes the index after the last value, the one entry that dropLast leaves out.
+    encoder = OneHotEncoder(inputCol=index, outputCol=vector, dropLast=True)
+    indexed = indexer.transform(df)
+    return encoder.fit(indexed).transform(indexed).drop(index, column)
 
 
 def fill(df: DataFrame, values: Mapping[str, float]) -> DataFrame:

@@ -41,7 +41,7 @@ def deactivated_rows(payment_methods: DataFrame, methods: DataFrame) -> DataFram
 def append_with_keys(existing: DataFrame, new: DataFrame, key: str, order: list[str]) -> DataFrame:
     """Give new rows the keys after the largest one in use, in the given order.
 
-    Returns the new rows only; write them with ``mode("append")``.
+    Returns the new rows only; ``sources.tables.append_table`` writes them.
     """
     last = existing.agg(F.coalesce(F.max(key), F.lit(0)).alias("last")).first()["last"]
     numbered = consecutive(new, key, order, start=last + 1)

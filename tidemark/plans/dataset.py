@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
@@ -16,6 +16,42 @@ from tidemark.plans.features import FEATURES, ROW_ID
 # very long one. Fixed values.
 FILLS = {"user_stddev_amount_24h": 0.0, "seconds_since_last_transaction": 1e9}
 
+SPLITS = ("hash", "exact", "time")
+
+
+@dataclass(frozen=True)
+class Options:
+    """How a dataset is made; stored with each model, so that its evaluation uses the same rows.
+
+    ``split``: ``hash`` decides by the id alone; ``exact`` takes exactly ``fraction`` of each class;
+    ``time`` tests on what happened at or after ``border``. ``drop`` names model inputs to leave out.
+    """
+
+    include_status: bool = False
+    split: str = "hash"
+    fraction: float = S.TEST_FRACTION
+    border: str | None = None
+    drop: tuple[str, ...] = ()
+    categories: tuple[str, ...] = tuple(S.MERCHANT_CATEGORIES)
+
+    def __post_init__(self):
+        if self.split not in SPLITS:
+            raise ValueError(f"unknown split {self.split!r}, expected one of {', '.join(SPLITS)}")
+        if self.split == "time" and self.border is None:
+            raise ValueError("a split by time needs a border")
+        unknown = set(self.drop) - set(input_expressions(self.include_status, self.categories))
+        if unknown:
+            raise ValueError(f"no such inputs: {', '.join(sorted(unknown))}")
+
+    def with_found_categories(self, features: DataFrame) -> Options:
+        """The same with the categories that the data hold."""
+        return replace(self, categories=tuple(categories_found(features)))
+
+    def inputs(self) -> dict[str, str]:
+        """Model input name -> SQL, without those to drop."""
+        every = input_expressions(self.include_status, self.categories)
+        return {name: sql for name, sql in every.items() if name not in self.drop}
+
 
 def input_expressions(
     include_status: bool = False, categories: Sequence[str] = S.MERCHANT_CATEGORIES
@@ -53,16 +89,10 @@ def without_identifiers(
     return features.drop(*drop)
 
 
-def encode(
-    features: DataFrame,
-    include_status: bool = False,
-    categories: Sequence[str] = S.MERCHANT_CATEGORIES,
-) -> DataFrame:
-    """Row id, numeric inputs and label."""
-    inputs = input_expressions(include_status, categories)
-    return features.select(
-        ROW_ID, *[F.expr(sql).alias(name) for name, sql in inputs.items()], S.LABEL
-    )
+def encode(features: DataFrame, options: Options = Options(), keep: Sequence[str] = ()) -> DataFrame:
+    """Row id, numeric inputs, label and the columns to keep."""
+    inputs = [F.expr(sql).alias(name) for name, sql in options.inputs().items()]
+    return features.select(ROW_ID, *inputs, S.LABEL, *keep)
 
 
 # ------------------------------------------------------------------------------------ splitting
@@ -125,8 +155,23 @@ def stratified_split_flag(
 
 
 def time_split_flag(time: str, border: Column) -> Column:
-    """True for rows at or after a moment: testing on the future only."""
-    return F.col(time) >= border
+    """True for rows at or after a moment: testing on the future only; false without a time."""
+    return F.coalesce(F.col(time) >= border, F.lit(False))
+
+
+def with_split(features: DataFrame, options: Options = Options()) -> DataFrame:
+    """Add ``is_test`` to the rows of a feature table."""
+    if options.split == "exact":
+        return stratified_split_flag(features, fraction=options.fraction)
+    if options.split == "time":
+        flag = time_split_flag("transaction_timestamp", F.lit(options.border).cast("timestamp"))
+    else:
+        flag = hash_split_flag(fraction=options.fraction)
+    return features.withColumn("is_test", flag)
+
+
+def test_rows(features: DataFrame, options: Options = Options()) -> DataFrame:
+    return with_split(features, options).filter("is_test").drop("is_test")
 
 
 # -------------------------------------------------------------------------------------- scaling
@@ -196,21 +241,10 @@ class Prepared:
     scaling: Scaling
 
 
-def prepare(
-    features: DataFrame,
-    include_status: bool = False,
-    exact_split: bool = False,
-    found_categories: bool = False,
-    fraction: float = S.TEST_FRACTION,
-) -> Prepared:
-    """Encode, split and scale; the scaling is learned from the training rows only."""
-    categories = categories_found(features) if found_categories else S.MERCHANT_CATEGORIES
-    encoded = encode(features, include_status, categories)
-    if exact_split:
-        flagged = stratified_split_flag(encoded, fraction=fraction)
-    else:
-        flagged = encoded.withColumn("is_test", hash_split_flag(fraction=fraction))
-    inputs = list(input_expressions(include_status, categories))
+def prepare(features: DataFrame, options: Options = Options()) -> Prepared:
+    """Split, encode and scale; the scaling is learned from the training rows only."""
+    flagged = encode(with_split(features, options), options, ["is_test"])
+    inputs = list(options.inputs())
     train = flagged.filter(~F.col("is_test")).drop("is_test")
     test = flagged.filter("is_test").drop("is_test")
     scaling = fit_scaling(train, inputs)

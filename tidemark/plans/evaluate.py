@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.plans import metrics as M
-from tidemark.plans.dataset import hash_split_flag
+from tidemark.plans.dataset import Options, test_rows
 from tidemark.plans.models import score
 from tidemark.session import materialize
 
+# The header of the report.
 COLUMNS = (
     "roc_auc",
     "avg_precision",
@@ -72,22 +73,36 @@ def evaluate(
     )
 
 
-def evaluate_models(
-    models: Mapping[str, PipelineModel], features: DataFrame, test_only: bool = True
-) -> DataFrame:
-    """The metrics of each model on the test part of a feature table."""
-    rows = features.filter(hash_split_flag()) if test_only else features
+def compare(scored: Mapping[str, DataFrame], label: str, probability: str) -> DataFrame:
+    """One report over several models' scored rows."""
     return reduce(
         DataFrame.unionByName,
         [
-            evaluate(score(model, rows)).select(F.lit(name).alias("model"), "*")
-            for name, model in models.items()
+            evaluate(rows, label, probability).select(F.lit(name).alias("model"), "*")
+            for name, rows in scored.items()
         ],
     )
 
 
-def best_threshold_of(pipeline: PipelineModel, features: DataFrame) -> float:
+def evaluate_models(
+    models: Mapping[str, PipelineModel],
+    features: DataFrame,
+    test_only: bool = True,
+    options: Mapping[str, Options] | None = None,
+) -> DataFrame:
+    """The metrics of each model on the test part of a feature table, as its options split it."""
+
+    def rows(name: str) -> DataFrame:
+        return test_rows(features, (options or {}).get(name, Options())) if test_only else features
+
+    scored = {name: score(model, rows(name)) for name, model in models.items()}
+    return compare(scored, S.LABEL, "fraud_probability")
+
+
+def best_threshold_of(
+    pipeline: PipelineModel, features: DataFrame, options: Options = Options()
+) -> float:
     """The threshold to store with a model: the best F1 on the test part."""
-    scored = score(pipeline, features.filter(hash_split_flag()))
+    scored = score(pipeline, test_rows(features, options))
     curve = M.precision_recall_curve(scored, S.LABEL, "fraud_probability")
     return M.best_threshold(curve).first()["threshold"]

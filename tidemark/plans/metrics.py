@@ -74,22 +74,6 @@ def confusion(
     )
 
 
-def confusion_on_curve(curve: DataFrame, threshold: float) -> DataFrame:
-    """The same four counts, from a curve already computed."""
-    said = F.col("threshold") >= threshold
-    return curve.agg(
-        *[
-            F.coalesce(F.sum(F.when(hit, F.col(n))), F.lit(0)).alias(c)
-            for c, n, hit in (
-                ("tn", "neg", ~said),
-                ("fp", "neg", said),
-                ("fn", "pos", ~said),
-                ("tp", "pos", said),
-            )
-        ]
-    )
-
-
 def ranking_scores(curve: DataFrame) -> DataFrame:
     """ROC-AUC (ties count half) and average precision (step sum), one row.
 

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
@@ -14,7 +18,9 @@ from tidemark.plans import models as L
 from tidemark.plans import oversample as O
 from tidemark.queries.features import ENRICHED, SQL
 from tidemark.queries.registry import query
-from tidemark.session import materialize
+from tidemark.session import materialize, shared_folder
+from tidemark.sources.tables import write_metrics
+from tidemark.streaming import scoring as R
 
 ID = "transaction_id"
 
@@ -112,7 +118,7 @@ def _(fx):
     return D.stratified_split_flag(rows)
 
 
-def _prepared_sql() -> str:
+def _prepared_sql(columns: str = "transaction_id, is_fraudulent, is_test", absent: str = "null") -> str:
     """The encoded inputs, scaled by the mean and deviation of the training rows."""
     inputs = {
         "transaction_amount_usd": "cast(usd as double)",
@@ -133,13 +139,14 @@ def _prepared_sql() -> str:
         for n in inputs
     )
     scaled = ", ".join(
-        f'round(("{n}" - "m_{n}") / case when "s_{n}" = 0 then 1 else "s_{n}" end, 4) as "{n}"'
+        f'coalesce(round(("{n}" - "m_{n}") / case when "s_{n}" = 0 then 1 else "s_{n}" end, 4),'
+        f' {absent}) as "{n}"'
         for n in inputs
     )
     return f"""+, encoded as (
         select transaction_id, is_fraudulent, {HASH} as is_test, {encoded} from {ENRICHED}),
       fitted as (select *, {fitted} from encoded)
-      select transaction_id, is_fraudulent, is_test, {scaled} from fitted""".replace("+,", "+")
+      select {columns}, {scaled} from fitted""".replace("+,", "+")
 
 
 @query("l02_prepare_dataset", _prepared_sql(), "txm pm")
@@ -254,19 +261,32 @@ def _(fx):
     return evaluated(fx)
 
 
+def _report_sql(name: str, source: str) -> str:
+    """The two rows of one model; ``source`` holds its labels and scores."""
+    curve = CURVE.replace("from scored", f"from {source}")
+    for view in ("points", "curve", "rated"):
+        curve = re.sub(rf"\b{view}\b", f"{name}_{view}", curve)
+    body = " union all ".join(
+        f"select '{name}' as model, * from ({_metrics_sql(kind, at)})"
+        for kind, at in (("default", "0.5"), ("best", BEST))
+    )
+    return curve, re.sub(r"\brated\b", f"{name}_rated", body)
+
+
+_FIRST, _SECOND = _report_sql("first", "scored"), _report_sql("second", "other")
+
+
 @query(
     "a10_metrics_table",
-    f"""+{CURVE}, report as ({_metrics_sql('default', '0.5')} union all
-          {_metrics_sql('best', BEST)})
-        select 'first' as model, * from report union all select 'second' as model, * from report""",
+    f"""+other as (select label, round(0.7 - score / 2, 6) as score from scored),
+       {_FIRST[0]}, {_SECOND[0]} {_FIRST[1]} union all {_SECOND[1]}""",
     "scored",
 )
 def _(fx):
-    return (
-        evaluated(fx)
-        .select(F.lit("first").alias("model"), "*")
-        .unionByName(evaluated(fx).select(F.lit("second").alias("model"), "*"))
-    )
+    """Two models: the second prefers what the first does not."""
+    second = fx.scored().withColumn("score", F.round(0.7 - F.col("score") / 2, 6))
+    report = V.compare({"first": fx.scored(), "second": second}, "label", "score")
+    return rounded(report, 9, "roc_auc", "avg_precision")
 
 
 @query(
@@ -337,66 +357,180 @@ def _(fx):
     return rows.groupBy(S.LABEL).agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("u04_oversampled_rows")
+@query(
+    "u04_oversampled_rows",
+    f"""select is_made, is_fraudulent, cast(n as bigint) as rows, cast(n as bigint) as between from
+        (select false as is_made, is_fraudulent, count(*) as n from tx where not ({HASH}) group by all
+         union all
+         select true, 1, count(*) filter (is_fraudulent = 0) - count(*) filter (is_fraudulent = 1)
+         from tx where not ({HASH}))""",
+    "tx",
+)
 def _(fx):
+    """Rows by origin and class, and how many lie between the least and the largest values that
+    rows of their class have in the training part."""
     prepared = D.prepare(feature_table(fx))
-    return O.oversample(prepared.train, prepared.inputs, ID)
+    rows = materialize(O.oversample(prepared.train, prepared.inputs, ID))
+    made = F.col(ID).contains("~")
+    values = [f"`{c}`" for c in prepared.inputs]
+    # One row per class.
+    known = rows.filter(~made).groupBy(S.LABEL).agg(
+        F.array(*[F.min(v) for v in values]).alias("least"),
+        F.array(*[F.max(v) for v in values]).alias("most"),
+    )
+    inside = [
+        F.coalesce(
+            F.col(v).between(F.col("least")[i] - 1e-9, F.col("most")[i] + 1e-9), F.lit(True)
+        )
+        for i, v in enumerate(values)
+    ]
+    counted = rows.join(F.broadcast(known), S.LABEL).groupBy(made.alias("is_made"), S.LABEL)
+    return counted.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(reduce(Column.__and__, inside)).alias("between"),
+    )
 
 
 # -------------------------------------------------------------------------------------- models
 
 
-@query("p16_input_vector")
+@query("p16_input_vector", _prepared_sql("transaction_id, is_fraudulent", "0.0::double"), "txm pm")
 def _(fx):
+    """The vector that a scorer makes of a raw feature row, an entry per column."""
     features = feature_table(fx)
     prepared = D.prepare(features)
-    stages = L.preparation_stages(D.input_expressions(), prepared.scaling)
     rows = features
-    for stage in stages:
+    for stage in L.preparation_stages(D.input_expressions(), prepared.scaling):
         rows = stage.transform(rows)
-    return rows.select(ID, vector_to_array(L.VECTOR, "float32").alias("inputs"), S.LABEL)
+    rows = rows.withColumn("inputs", vector_to_array(L.VECTOR))
+    entries = [F.round(F.col("inputs")[i], 4).alias(c) for i, c in enumerate(prepared.inputs)]
+    return rows.select(ID, S.LABEL, *entries)
+
+
+# What a fitted model says depends on its library; that it scores every transaction with
+# probabilities, and predicts by its threshold, does not.
+SCORED = "select transaction_id, is_fraudulent, true as is_probability from tx"
 
 
 def _trained(fx, name: str, **options):
+    """Trained on the training part, then all transactions scored."""
     features = feature_table(fx)
     scored = L.score(L.train(features, name, **options), features)
-    return scored.select(ID, S.LABEL, "fraud_probability")
+    return scored.select(
+        ID, S.LABEL, F.col("fraud_probability").between(0, 1).alias("is_probability")
+    )
 
 
-@query("l04_boosted_trees")
+@query("l04_boosted_trees", SCORED, "tx")
 def _(fx):
-    """Trained on the training part, then all transactions scored."""
     return _trained(fx, "gbt")
 
 
-@query("l05_random_forest")
+@query("l05_random_forest", SCORED, "tx")
 def _(fx):
     return _trained(fx, "rf")
 
 
-@query("l06_perceptron")
+@query("l06_perceptron", SCORED, "tx")
 def _(fx):
     return _trained(fx, "mlp")
 
 
-@query("l10_batch_scoring")
+@query(
+    "l10_batch_scoring",
+    "select transaction_id, true as sums_to_one, true as follows_threshold from tx",
+    "tx",
+)
 def _(fx):
     """Both class probabilities and the prediction at the stored threshold."""
     features = feature_table(fx)
     model = L.with_threshold(L.train(features, "rf"), 0.3)
     scored = L.score(model, features)
-    return M.predictions(
-        scored.select(
-            ID,
-            F.col("probabilities")[0].alias("normal_probability"),
-            "fraud_probability",
-        ),
-        L.alert_threshold(model),
-        "fraud_probability",
+    predicted = M.predictions(scored, L.alert_threshold(model), "fraud_probability")
+    total = F.col("probabilities")[0] + F.col("fraud_probability")
+    return predicted.select(
+        ID,
+        (F.abs(total - 1) < 1e-9).alias("sums_to_one"),
+        ((F.col("prediction") == 1) == (F.col("fraud_probability") >= 0.3)).alias("follows_threshold"),
+    )
+
+
+@query(
+    "k08_top_importances",
+    """select cast(count(*) as bigint) as inputs, true as in_order, true as are_shares
+       from (select user_id from tx group by all limit 20)""",
+    "tx",
+)
+def _(fx):
+    """The twenty most important inputs: all known, largest first, together at most 1."""
+    names = L.input_names()
+    top = L.top_importances(L.train(feature_table(fx), "rf"), fx.spark, names)
+    ranked = top.withColumn("place", F.monotonically_increasing_id())
+    ahead = F.lag("importance").over(Window.orderBy("place"))  # twenty rows
+    return ranked.withColumn("ahead", ahead).agg(
+        F.count_if(F.col("feature").isin(names)).alias("inputs"),
+        F.every(F.coalesce(F.col("ahead") >= F.col("importance"), F.lit(True))).alias("in_order"),
+        (F.every(F.col("importance") >= 0) & (F.sum("importance") <= 1 + 1e-9)).alias("are_shares"),
+    )
+
+
+@query("s14_saved_model", "select transaction_id, true as same from tx", "tx")
+def _(fx):
+    """A model read back from its folder scores every transaction as the fitted one does."""
+    features = feature_table(fx)
+    model = L.train(features, "mlp")
+    folder = shared_folder(fx.spark, "models")
+    L.save(model, folder, "mlp")
+    scored = [
+        L.score(m, features).select(ID, F.col("fraud_probability").alias(name))
+        for name, m in (("fitted", model), ("loaded", L.load(fx.spark, folder, "mlp")))
+    ]
+    joined = scored[0].join(scored[1], ID)
+    return joined.select(ID, (F.col("fitted") == F.col("loaded")).alias("same"))
+
+
+@query(
+    "r05_alert_sinks",
+    """select transaction_id, user_id, true as is_above, true as in_both, true as has_id
+       from (select transaction_id, user_id from tx)""",
+    "tx",
+)
+def _(fx):
+    """All transactions scored and alerted, with a threshold of 0 and so an alert for each: the
+    alert table has gapless ids, and what is published is what is stored."""
+    features = feature_table(fx)
+    model = L.with_threshold(L.train(features, "mlp"), 0.0)
+    root = shared_folder(fx.spark, "alerts")
+    stores = R.Stores(*[f"{root}/{n}" for n in ("history", "alerts", "bad", "state")])
+    late = F.col(ID) % 2 == 0
+    for batch, part in enumerate((features.filter(~late), features.filter(late))):
+        R.emit(
+            part,
+            stores,
+            model,
+            "mlp",
+            publish=lambda df: df.write.mode("append").parquet(f"{root}/published"),
+            batch_id=batch,
+        )
+    stored = R.stored_alerts(fx.spark, stores.alerts)
+    sent = fx.spark.read.parquet(f"{root}/published").select(
+        "alert_id", ID, F.lit(True).alias("sent")
+    )
+    rows = stored.agg(F.count(F.lit(1)).alias("rows"), F.max("alert_id").alias("last"))
+    gapless = rows.select((F.col("rows") == F.col("last")).alias("gapless"))
+    return stored.join(sent, ["alert_id", ID], "left").join(F.broadcast(gapless)).select(
+        F.col(ID).cast("bigint").alias(ID),
+        "user_id",
+        F.col("fraud_probability").between(0, 1).alias("is_above"),
+        F.coalesce("sent", F.lit(False)).alias("in_both"),
+        (F.col("gapless") & (F.col("alert_id") > 0)).alias("has_id"),
     )
 
 
-@query("k08_top_importances")
+@query("s13_metrics_csv", TWO_ROWS, "scored")
 def _(fx):
-    model = L.train(feature_table(fx), "rf")
-    return L.top_importances(model, fx.spark, L.input_names())
+    """The report as the CSV file holds it."""
+    path = f"{shared_folder(fx.spark, 'metrics')}/report"
+    report = evaluated(fx)
+    write_metrics(report, path)
+    return fx.spark.read.option("header", True).schema(report.schema).csv(path)

@@ -2,27 +2,22 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
+from tidemark.operators import updates as U
 from tidemark.operators.access import since
+from tidemark.plans import features as P
 from tidemark.queries.features import ENRICHED, SQL, all_feature_columns
 from tidemark.queries.registry import query
-from tidemark.session import checkpoint_root
+from tidemark.session import shared_folder
 from tidemark.sources import messages as M
+from tidemark.sources.tables import append_table, read_features, write_features
 from tidemark.streaming import scoring as R
 
 # Moments between which messages arrive together
 ARRIVALS = (None, "2024-01-16", None)
 
 
-def shared_folder(spark, name: str) -> str:
-    """A new folder below the one every executor reaches."""
-    root = checkpoint_root(spark)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def replay(fx, heavy_rows=None) -> tuple[R.Stores, str]:
     """Write the messages of each period one after the other and let the stream take each."""
     spark = fx.spark
@@ -106,3 +101,63 @@ def _(fx):
     incoming = fx.transactions().filter(F.col("transaction_amount_usd") > 250)
     recent = since(fx.transactions(), F.lit("2024-01-20").cast("timestamp"), 240)
     return R.touched_history(recent, incoming).select("transaction_id", "user_id", "device_id")
+
+
+ALL_IDS = "select cast(transaction_id as varchar) as transaction_id, user_id from tx"
+
+
+@query("f06_empty_batch", ALL_IDS, "tx")
+def _(fx):
+    """An empty batch before and after the whole table changes nothing in the stores."""
+    root = shared_folder(fx.spark, "empty")
+    stores = R.Stores(*[f"{root}/{n}" for n in ("history", "alerts", "bad", "state")])
+    parsed = R.parsed_messages(M.to_messages(fx.transactions(), fx.payment_methods()).select("value"))
+    empty = parsed.limit(0)
+    for batch_id, batch in enumerate((empty, parsed, empty)):
+        R.process_batch(batch, batch_id, stores, fx.merchants())
+    return fx.spark.read.parquet(stores.history).select(R.ID, "user_id")
+
+
+@query("r08_watermark", ALL_IDS, "tx")
+def _(fx):
+    """Every message twice in one stream; each transaction comes out once."""
+    root = shared_folder(fx.spark, "watermark")
+    values = M.to_messages(fx.transactions(), fx.payment_methods()).select("value")
+    values.union(values).write.text(f"{root}/inbox")
+    stream = M.file_stream(fx.spark, f"{root}/inbox", files_per_batch=10_000)
+    once = R.without_repeats(R.parsed_messages(stream), "31 days").select(R.ID, "user_id")
+    writer = once.writeStream.option("checkpointLocation", f"{root}/state")
+    writer.trigger(availableNow=True).start(f"{root}/out", format="parquet").awaitTermination()
+    return fx.spark.read.parquet(f"{root}/out")
+
+
+@query(
+    "s03_feature_table",
+    f"""select transaction_id, {SQL["user_transaction_count_1h"]} as user_transaction_count_1h
+        from {ENRICHED} qualify transaction_timestamp >= timestamp '2024-01-20'""",
+    "txm pm",
+)
+def _(fx):
+    """The written feature table, read from a date on; the folders of other dates are skipped."""
+    path = f"{shared_folder(fx.spark, 'features')}/features"
+    write_features(P.velocity_features(fx.transactions()), path)
+    recent = read_features(fx.spark, path).filter(F.col("event_date") >= "2024-01-20")
+    return recent.select(R.ID, "user_transaction_count_1h")
+
+
+@query(
+    "s11_appended_table",
+    """select payment_method_id, user_id from pm union all
+       select (select max(payment_method_id) from pm)
+           + row_number() over (order by transaction_id) as payment_method_id, user_id from tx""",
+    "tx pm",
+)
+def _(fx):
+    """A table to which one new row per transaction has been appended, keys going on gapless."""
+    path = f"{shared_folder(fx.spark, 'methods')}/payment_methods"
+    append_table(fx.payment_methods().select("payment_method_id", "user_id"), path)
+    stored = fx.spark.read.parquet(path)
+    new = fx.transactions().select(R.ID, "user_id")
+    keyed = U.append_with_keys(stored, new, "payment_method_id", [R.ID])
+    append_table(keyed.select("payment_method_id", "user_id"), path)
+    return fx.spark.read.parquet(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,6 +57,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the one every executor reaches."""
+    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into reliable storage and cut its lineage there."""
     spark = df.sparkSession

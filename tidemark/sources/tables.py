@@ -63,6 +63,40 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def write_snapshot(root: str, name: str, df: DataFrame) -> str:
+    """Write a table anew beside its earlier snapshots, which may be what ``df`` reads.
+
+    A snapshot counts once Spark has marked it complete; a failed write leaves the last one valid.
+    """
+    spark = df.sparkSession
+    version = max(_versions(spark, root, name, complete=False), default=0) + 1
+    path = f"{root}/{name}/version={version}"
+    df.write.parquet(path)
+    return path
+
+
+def read_snapshot(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The latest complete snapshot of a table."""
+    versions = _versions(spark, root, name, complete=True)
+    if not versions:
+        raise FileNotFoundError(f"no complete snapshot of {name} below {root}")
+    return spark.read.parquet(f"{root}/{name}/version={max(versions)}")
+
+
+def _versions(spark: SparkSession, root: str, name: str, complete: bool) -> list[int]:
+    context = spark.sparkContext
+    pattern = f"{root}/{name}/version=*" + ("/_SUCCESS" if complete else "")
+    path = context._jvm.org.apache.hadoop.fs.Path(pattern)
+    files = path.getFileSystem(context._jsc.hadoopConfiguration())
+    found = [entry.getPath() for entry in files.globStatus(path) or ()]
+    folders = [p.getParent() if complete else p for p in found]
+    return [int(f.getName().partition("=")[2]) for f in folders]
+
+
+def append_table(df: DataFrame, path: str) -> None:
+    df.write.mode("append").parquet(path)
+
+
 def local_rows(spark: SparkSession, rows: Sequence[Mapping], schema: T.StructType) -> DataFrame:
     """Dictionaries as a DataFrame with a fixed schema; absent fields are NULL."""
     ordered = [tuple(row.get(f.name) for f in schema.fields) for row in rows]

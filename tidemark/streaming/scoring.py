@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from tidemark import schemas as S
 from tidemark.operators.access import HISTORY_COLUMNS
 from tidemark.operators.skew import HEAVY_KEY_ROWS
+from tidemark.operators.updates import append_with_keys
 from tidemark.plans.features import all_features, with_merchant_category
 from tidemark.plans.models import alert_threshold, score
 from tidemark.sources import messages as M
@@ -274,14 +275,51 @@ def process_batch(
             append_history(usable, stores.history, batch_id, run)
             history = read_history(spark, stores.history, start, span["last"])
             features = batch_features(history, usable, merchants, heavy_rows)
-            _emit(features, f"run={run}/batch_id={batch_id}", stores, model, model_name, publish)
+            emit(features, stores, model, model_name, publish, run, batch_id)
         finally:
             usable.unpersist()
     finally:
         batch.unpersist()
 
 
-def _emit(features, folder, stores, model, model_name, publish) -> None:
+def stored_alerts(spark: SparkSession, alerts: str) -> DataFrame | None:
+    """The alert table with the run and batch of each alert; None before the first."""
+    files, path = _file_system(spark, f"{alerts}/run=*/batch_id=*/_SUCCESS")
+    if not files.globStatus(path):
+        return None
+    schema = T.StructType(
+        [
+            *S.FRAUD_ALERTS.fields,
+            T.StructField("run", T.StringType()),
+            T.StructField("batch_id", T.LongType()),
+        ]
+    )
+    return spark.read.schema(schema).parquet(alerts)
+
+
+def with_alert_ids(found: DataFrame, alerts: str, run: str, batch_id: int) -> DataFrame:
+    """Alert records with the ids after the largest one that other batches stored, so that a batch
+    that is run again gives the same ids. One run at a time may write to an alert table."""
+    known = stored_alerts(found.sparkSession, alerts)
+    if known is None:
+        known = found.select(F.lit(None).cast("bigint").alias("alert_id")).limit(0)
+    else:
+        known = known.filter((F.col("run") != run) | (F.col("batch_id") != batch_id))
+    numbered = append_with_keys(known, found, "alert_id", [ID])
+    return numbered.select(*[F.col(f.name).cast(f.dataType) for f in S.FRAUD_ALERTS.fields])
+
+
+def emit(
+    features: DataFrame,
+    stores: Stores,
+    model: PipelineModel | None,
+    model_name: str = "gbt",
+    publish: Callable[[DataFrame], None] | None = None,
+    run: str = FIRST_RUN,
+    batch_id: int = 0,
+) -> None:
+    """Store the features of a batch, score them, store the alerts and hand them to ``publish``."""
+    folder = f"run={run}/batch_id={batch_id}"
     if stores.features:
         path = f"{stores.features}/{folder}"
         features.write.mode("overwrite").parquet(path)
@@ -290,6 +328,7 @@ def _emit(features, folder, stores, model, model_name, publish) -> None:
     if model is None:
         return
     found = alerts(score(model, features), model_name, alert_threshold(model))
+    found = with_alert_ids(found, stores.alerts, run, batch_id)
     path = f"{stores.alerts}/{folder}"
     found.write.mode("overwrite").parquet(path)
     if publish is not None:
