@@ -29,7 +29,12 @@ HEADLINE = (
     "p02_parse_messages",
     "s11_append_with_keys",
 )
-ONCE = ("features_batch_sliced", "r04_stream_replay")
+ONCE = (
+    "features_batch_sliced",
+    "j10_minority_neighbours",
+    "l03_oversampled_classes",
+    "r04_stream_replay",
+)
 
 
 def run(spark, name: str, directory: str) -> float:
@@ -69,6 +74,7 @@ def main() -> None:
                 "queries": seconds,
                 "rows": rows,
                 "rows_per_sec": round(rows / seconds["features_batch"]),
+                "replay_rows_per_sec": round(rows / seconds["r04_stream_replay"]),
                 "sf": os.path.basename(directory.rstrip("/")),
                 "cpus": int(cpus),
             }
