@@ -1,6 +1,7 @@
 """Stream behaviour: bad messages, repeats, retries, late rows, alerts."""
 
 import json
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -122,6 +123,41 @@ def test_a_far_date_lists_no_folders(spark, stores, merchants):
     assert sorted(features(spark, stores)) == ["1", "2"]
 
 
+def test_compaction_changes_no_feature(spark, stores, merchants):
+    """Merged folders hold the rows of all batches but the latest, which may still be run again."""
+    for i in range(4):
+        run(spark, stores, merchants, i, message(i, f"2024-01-02 10:0{i}:00"), message(f"x{i}", "2024-01-09"))
+    assert R.compact_history(spark, stores.history, date(2024, 1, 5), 5) == []
+    assert R.compact_history(spark, stores.history, date(2024, 1, 5), 3) == ["2024-01-02"]
+
+    def batches():
+        stored = spark.read.parquet(stores.history).groupBy("event_date", "batch_id").count().collect()
+        return sorted((str(r[0]), r[1], r[2]) for r in stored)
+
+    assert batches() == sorted(
+        [("2024-01-02", -3, 3), ("2024-01-02", 3, 1), *[("2024-01-09", i, 1) for i in range(4)]]
+    )
+    run(spark, stores, merchants, 3, message(3, "2024-01-02 10:03:00"), message("x3", "2024-01-09"))  # retry
+    run(spark, stores, merchants, 4, message(4, "2024-01-02 10:04:00"), message(1, "2024-01-02 10:01:00"))
+    assert features(spark, stores)["3"]["user_transaction_count_1h"] == 4
+    assert features(spark, stores)["4"]["user_transaction_count_1h"] == 5
+    # what is merged already is merged again with what came since, and a doubled row goes
+    R.append_history(spark.read.parquet(stores.history).filter("transaction_id = '0'"), stores.history, 2)
+    assert R.compact_history(spark, stores.history, date(2024, 1, 5), 3) == ["2024-01-02"]
+    assert [b for b in batches() if b[0] == "2024-01-02"] == [("2024-01-02", -4, 4), ("2024-01-02", 4, 1)]
+
+
+def test_stream_compacts_between_batches(spark, stores, merchants, tmp_path):
+    inbox = str(tmp_path / "inbox")
+    for i in range(5):
+        raw(spark, message(i, f"2024-01-02 10:{i:02d}:00")).coalesce(1).write.mode("append").text(inbox)
+    stream = M.file_stream(spark, inbox, 1)
+    R.start_scoring(stream, stores, merchants, available_now=True, compact_every=2).awaitTermination()
+    stored = spark.read.parquet(stores.history)
+    assert stored.count() == 5 and stored.select("batch_id").distinct().count() == 3
+    assert sorted(features(spark, stores)) == ["0", "1", "2", "3", "4"]
+
+
 def test_other_users_of_the_device_count(spark, stores, merchants):
     run(spark, stores, merchants, 0, message(1, "2024-01-02 10:00:00", user=1))
     run(spark, stores, merchants, 1, message(2, "2024-01-02 11:00:00", user=2), heavy_rows=0)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import updates as U
@@ -71,6 +73,23 @@ def _(fx):
     return fx.spark.read.parquet(f"{root}/history").select(R.ID, "user_id")
 
 
+@query(
+    "s09_history_compacted",
+    "select cast(transaction_id as varchar) as transaction_id, user_id from tx",
+    "tx",
+)
+def _(fx):
+    """Ten batches of a run, of which all but the latest are merged date by date; no row is lost."""
+    history = f"{shared_folder(fx.spark, 'compacted')}/history"
+    parsed = R.parsed_messages(M.to_messages(fx.transactions(), fx.payment_methods()).select("value"))
+    rows = M.valid(parsed).persist()
+    for batch_id in range(10):
+        R.append_history(rows.filter(F.pmod(F.xxhash64(R.ID), F.lit(10)) == batch_id), history, batch_id)
+    rows.unpersist()
+    R.compact_history(fx.spark, history, date(2100, 1, 1))
+    return fx.spark.read.parquet(history).select(R.ID, "user_id")
+
+
 @query(
     "p17_alert_records",
     """select transaction_id, user_id, score as fraud_probability, 'gbt' as model_name,

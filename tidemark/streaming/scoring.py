@@ -32,6 +32,15 @@ _LATEST_FRAME_DAYS = S.LONGEST_LOOKBACK // S.DAY
 _LONGEST_SUM_DAYS = 7
 _DEVICE_DAYS = 1
 FIRST_RUN = "first"
+COMPACTED_FOLDERS = 8
+_STORED = T.StructType(
+    [
+        *[T.StructField(f.name, f.dataType) for f in S.TRANSACTIONS.fields],
+        T.StructField("event_date", T.DateType()),
+        T.StructField("run", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
 
 
 @dataclass(frozen=True)
@@ -122,16 +131,65 @@ def read_history(spark: SparkSession, history: str, first: date, last: date) ->
     days = [d for d in days if str(first) <= d <= str(last)]
     if not days:
         return None
-    schema = T.StructType(
-        [
-            *[T.StructField(f.name, f.dataType) for f in S.TRANSACTIONS.fields],
-            T.StructField("event_date", T.DateType()),
-            T.StructField("run", T.StringType()),
-            T.StructField("batch_id", T.LongType()),
-        ]
-    )
     paths = [f"{history}/event_date={day}" for day in days]
-    return spark.read.schema(schema).option("basePath", history).parquet(*paths)
+    return spark.read.schema(_STORED).option("basePath", history).parquet(*paths)
+
+
+def compact_history(
+    spark: SparkSession, history: str, before: date, folders: int = COMPACTED_FOLDERS
+) -> list[str]:
+    """Merge the folders of dates before ``before`` that hold at least ``folders`` batches of one run.
+
+    A run's latest batch may still be run again, so it stays by itself; all earlier ones are done. The
+    merged rows keep their run, get a negative batch and are sorted by user. They are in place before
+    what they replace is deleted: a failure in between leaves rows twice, which readers of features
+    drop by id and the next merge mends. Call it where nothing else reads the history, as the
+    stream does between its batches. Returns the dates that were merged.
+    """
+    files, found = _file_system(spark, f"{history}/event_date=*/run=*/batch_id=*")
+    stored: dict[tuple[str, str], list[int]] = {}
+    latest: dict[str, int] = {}
+    for entry in files.globStatus(found) or ():
+        path = entry.getPath()
+        day, run, batch = (
+            p.getName().partition("=")[2] for p in (path.getParent().getParent(), path.getParent(), path)
+        )
+        stored.setdefault((day, run), []).append(int(batch))
+        latest[run] = max(latest.get(run, -1), int(batch))
+    merged = {}
+    for (day, run), batches in stored.items():
+        done = [b for b in batches if b != latest[run]]
+        if len(done) >= folders and day[:1].isdigit() and day < str(before):
+            merged[day, run] = done
+    if not merged:
+        return []
+    paths = [
+        f"{history}/event_date={day}/run={run}/batch_id={batch}"
+        for (day, run), batches in merged.items()
+        for batch in batches
+    ]
+    staging = f"{history}/_merging-{uuid4().hex}"
+    number = -1 - max(abs(b) for batches in merged.values() for b in batches)
+    (
+        spark.read.schema(_STORED)
+        .option("basePath", history)
+        .parquet(*paths)
+        .withColumn("batch_id", F.lit(number))
+        .dropDuplicates(["event_date", "run", ID])
+        .hint("rebalance", "event_date")
+        .sortWithinPartitions("event_date", "run", "user_id")
+        .write.partitionBy("event_date", "run", "batch_id")
+        .parquet(staging)
+    )
+    make_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for day, run in merged:
+        folder = f"event_date={day}/run={run}/batch_id={number}"
+        if not files.rename(make_path(f"{staging}/{folder}"), make_path(f"{history}/{folder}")):
+            raise RuntimeError(f"could not put {folder} in place")
+    for path in paths:
+        files.delete(make_path(path), True)
+    files.delete(make_path(staging), True)
+    return sorted({day for day, _ in merged})
 
 
 def _repeats(known: DataFrame, incoming: DataFrame, run: str, batch_id: int) -> DataFrame:
@@ -345,17 +403,25 @@ def start_scoring(
     watermark: str | None = None,
     available_now: bool = False,
     heavy_rows: int = HEAVY_KEY_ROWS,
+    compact_every: int | None = None,
 ):
-    """Start the scoring query over raw messages; wait on the returned query to keep it running."""
+    """Start the scoring query over raw messages; wait on the returned query to keep it running.
+
+    ``compact_every``: before each so manieth batch, dates before today's are compacted. Only for a
+    history that no other stream uses.
+    """
     parsed = parsed_messages(raw)
     run = run_of(raw.sparkSession, stores.checkpoint)
     if watermark:
         parsed = without_repeats(parsed, watermark)
-    writer = parsed.writeStream.option("checkpointLocation", stores.checkpoint).foreachBatch(
-        lambda df, batch_id: process_batch(
-            df, batch_id, stores, merchants, model, model_name, publish, heavy_rows, run
-        )
-    )
+
+    def take(df: DataFrame, batch_id: int) -> None:
+        if compact_every and batch_id and batch_id % compact_every == 0:
+            folders = min(COMPACTED_FOLDERS, compact_every)
+            compact_history(df.sparkSession, stores.history, date.today(), folders)
+        process_batch(df, batch_id, stores, merchants, model, model_name, publish, heavy_rows, run)
+
+    writer = parsed.writeStream.option("checkpointLocation", stores.checkpoint).foreachBatch(take)
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
