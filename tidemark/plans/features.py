@@ -167,12 +167,17 @@ def _compute(
     merchants: DataFrame | None = None,
     payment_methods: DataFrame | None = None,
     heavy_rows: int = HEAVY_KEY_ROWS,
+    counted: int | None = None,
 ) -> DataFrame:
     by_user = [m for g in groups for m in g.by_user]
     by_device = [m for g in groups for m in g.by_device]
     # Counted on the plain input, so that finding heavy keys reads one column only.
     keys = [k for k, measures in (("user_id", by_user), ("device_id", by_device)) if measures]
-    heavy = heavy_keys(df, *keys, min_rows=heavy_rows)
+    # Where all rows together are no more than a heavy key's, none is heavy.
+    if counted is not None and counted <= heavy_rows:
+        heavy = dict.fromkeys(keys)
+    else:
+        heavy = heavy_keys(df, *keys, min_rows=heavy_rows)
 
     rows = df.withColumn(TIME, epoch_seconds("transaction_timestamp"))
     if merchants is not None:
@@ -222,6 +227,10 @@ def all_features(
     merchants: DataFrame,
     payment_methods: DataFrame,
     heavy_rows: int = HEAVY_KEY_ROWS,
+    counted: int | None = None,
 ) -> DataFrame:
-    """The input columns, the merchant category and all 20 features."""
-    return _compute(transactions, ALL_GROUPS, merchants, payment_methods, heavy_rows)
+    """The input columns, the merchant category and all 20 features.
+
+    ``counted`` is the number of transactions where the caller knows it, which may save counting keys.
+    """
+    return _compute(transactions, ALL_GROUPS, merchants, payment_methods, heavy_rows, counted)

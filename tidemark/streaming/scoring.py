@@ -254,13 +254,24 @@ def thinned(history: DataFrame, earliest: Column) -> DataFrame:
     return history.filter(is_recent).unionByName(latest_old)
 
 
+def batch_rows(history: DataFrame, incoming: DataFrame, merchants: DataFrame) -> DataFrame:
+    """The stored rows that features of the batch are computed from, with merchant categories.
+
+    Old rows are read and shuffled in the few columns that features need; what else a transaction
+    carries comes from the batch itself.
+    """
+    stored = with_merchant_category(history.select(ID, *HISTORY_COLUMNS), merchants)
+    return needed_history(stored, incoming)
+
+
 def batch_features(
-    history: DataFrame,
+    rows: DataFrame,
     incoming: DataFrame,
     merchants: DataFrame,
     heavy_rows: int = HEAVY_KEY_ROWS,
+    counted: int | None = None,
 ) -> DataFrame:
-    """Features of the incoming transactions, which the history already contains.
+    """Features of the incoming transactions, which the ``batch_rows`` already contain.
 
     Rows fetched through a device lack some of their own users' rows, but only incoming
     transactions are kept, and for those both keys are complete.
@@ -270,11 +281,7 @@ def batch_features(
         .groupBy(F.col("payment_id").alias("payment_method_id"))
         .agg(F.min("payment_created_at").alias("created_at"))
     )
-    # Old rows are read and shuffled in the few columns that features need; what else a
-    # transaction carries comes from the batch itself.
-    stored = with_merchant_category(history.select(ID, *HISTORY_COLUMNS), merchants)
-    rows = needed_history(stored, incoming)
-    computed = all_features(rows, merchants, created, heavy_rows)
+    computed = all_features(rows, merchants, created, heavy_rows, counted)
     rest = _transactions(incoming).drop(*HISTORY_COLUMNS)
     return computed.join(rest, ID)
 
@@ -332,8 +339,13 @@ def process_batch(
                 return
             append_history(usable, stores.history, batch_id, run)
             history = read_history(spark, stores.history, start, span["last"])
-            features = batch_features(history, usable, merchants, heavy_rows)
-            emit(features, stores, model, model_name, publish, run, batch_id)
+            # Held while it is counted and used: the history is read and joined once.
+            rows = batch_rows(history, usable, merchants).persist()
+            try:
+                features = batch_features(rows, usable, merchants, heavy_rows, rows.count())
+                emit(features, stores, model, model_name, publish, run, batch_id)
+            finally:
+                rows.unpersist()
         finally:
             usable.unpersist()
     finally:
