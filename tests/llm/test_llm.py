@@ -381,6 +381,11 @@ def test_equal_substrings_share_phrases():
     assert len(np.intersect1d(pa, pb)) > 0.9 * len(np.unique(pa)) * len(common) / len(a)
 
 
+def test_letters():
+    assert all(map(language.has_letter, ("a", "1 ß", "東", "ª")))
+    assert not any(map(language.has_letter, (None, "", "12 - _", "½ ² Ⅷ ①", "\u0301")))
+
+
 def test_language(spark):
     rows = QUERIES["op10_language"](spark, "/root/testdata/sf0.01").toPandas()
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang").toPandas()

@@ -5,12 +5,12 @@ Linear support vector machines (squared hinge) on hashed byte sequences of the l
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +28,7 @@ FAMILIES = {
     "turkic": "az kk tr uz".split(),
     "indic": "bn gu hi mr ne pa ur".split(),
 }
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _FOLD = np.full(256, 32, np.uint32)
 _FOLD[65:91] = np.arange(97, 123)
 _FOLD[97:123] = np.arange(97, 123)
