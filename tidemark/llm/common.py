@@ -20,10 +20,21 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The folder of the shared one that holds what this application keeps; it goes when it ends."""
+    folder = f"{checkpoint_root(spark).rstrip('/')}/llm-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
+
+
 def keep(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lost executors cost no recomputation."""
+    """Write ``df`` to the shared folder and read it back: lost executors cost no recomputation.
+
+    Frames that were returned may still read the tables; they are deleted when the application ends.
+    """
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     kept = spark.read.schema(df.schema).parquet(path)
     kept._kept_path = path

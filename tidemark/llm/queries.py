@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, extraction, fingerprints, language, minhash, packing, quality, scoring, sharding, vectors
+from tidemark.llm import (
+    bpe,
+    extraction,
+    fingerprints,
+    language,
+    manifest,
+    minhash,
+    negatives,
+    neighbours,
+    packing,
+    quality,
+    scoring,
+    sharding,
+    vectors,
+)
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +86,18 @@ def op6_sharding(spark: SparkSession, directory: str) -> DataFrame:
 @query("op8_scoring")
 def op8_scoring(spark: SparkSession, directory: str) -> DataFrame:
     return scoring.scored(table(spark, directory, "documents"))
+
+
+@query("op11_neighbours")
+def op11_neighbours(spark: SparkSession, directory: str) -> DataFrame:
+    return neighbours.nearest(table(spark, directory, "embeddings"))
+
+
+@query("op12_negatives", negatives.oracle_sql())
+def op12_negatives(spark: SparkSession, directory: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, directory, "embeddings"))
+
+
+@query("op13_manifest", manifest.oracle_sql())
+def op13_manifest(spark: SparkSession, directory: str) -> DataFrame:
+    return manifest.manifest(table(spark, directory, "documents"))
