@@ -208,27 +208,32 @@ class CoverTree:
                 heapq.heappush(queue, (-top[i], bottom[i], int(nodes[i])))
 
         offer(np.zeros(1, int))
-        while queue:
-            top, bottom, node = heapq.heappop(queue)
-            if -top < least_wanted.min():
-                break
-            if not wanted(np.array([bottom]), np.array([-top]))[0]:
+        width = 1
+        while queue and -queue[0][0] >= least_wanted.min():
+            # The best nodes are taken in bundles that double, and verified together.
+            taken = [heapq.heappop(queue) for _ in range(min(width, len(queue)))]
+            width *= 2
+            bottom, top = np.array([b for _, b, _ in taken]), -np.array([t for t, _, _ in taken])
+            nodes = [taken[i][2] for i in np.flatnonzero(wanted(bottom, top))]
+            if not nodes:
                 continue
-            members = self.members[node]
-            if len(members):
-                scores = self.scores(anchor, members)
-                for w, (positions, found) in enumerate(best):
-                    inside = np.flatnonzero((scores >= least_wanted[w]) & (scores <= highs[w]))
-                    if not len(inside):
-                        continue
-                    positions = np.concatenate([positions, members[inside]])
-                    found = np.concatenate([found, scores[inside]])
-                    first = np.lexsort((ids[positions], -found))[:k]
-                    best[w] = positions[first], found[first]
-                    if len(first) == k:
-                        least_wanted[w] = max(lows[w], found[first[-1]])
-            if len(self.children[node]):
-                offer(self.children[node])
+            members = np.concatenate([self.members[n] for n in nodes])
+            scores = self.scores(anchor, members)
+            for w, (positions, found) in enumerate(best):
+                inside = np.flatnonzero((scores >= least_wanted[w]) & (scores <= highs[w]))
+                if not len(inside):
+                    continue
+                if len(inside) > 8 * k:
+                    # Whatever lies below the k-th score of these is out; ties stay.
+                    border = np.partition(scores[inside], len(inside) - k)[len(inside) - k]
+                    inside = inside[scores[inside] >= border]
+                positions = np.concatenate([positions, members[inside]])
+                found = np.concatenate([found, scores[inside]])
+                first = np.lexsort((ids[positions], -found))[:k]
+                best[w] = positions[first], found[first]
+                if len(first) == k:
+                    least_wanted[w] = max(lows[w], found[first[-1]])
+            offer(np.concatenate([self.children[n] for n in nodes]))
         return best
 
 
