@@ -26,6 +26,7 @@ from tidemark.operators.updates import append_with_keys
 from tidemark.plans.features import all_features, with_merchant_category
 from tidemark.plans.models import alert_threshold, score
 from tidemark.sources import messages as M
+from tidemark.streaming import history_index as X
 
 ID = "transaction_id"
 _LATEST_FRAME_DAYS = S.LONGEST_LOOKBACK // S.DAY
@@ -115,7 +116,7 @@ def append_history(
             }
         )
         .hint("rebalance", "event_date")
-        .sortWithinPartitions("event_date", "batch_id", "user_id")
+        .sortWithinPartitions("event_date", "batch_id", X.key_hash("user_id"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("event_date", "run", "batch_id")
@@ -123,18 +124,51 @@ def append_history(
     )
 
 
-def read_history(spark: SparkSession, history: str, first: date, last: date) -> DataFrame | None:
-    """The stored transactions of a range of dates; of dates that exist only those are listed."""
-    files, path = _file_system(spark, f"{history}/event_date=*")
+def index_batch(
+    spark: SparkSession, history: str, dates: list[date], batch_id: int, run: str = FIRST_RUN
+) -> None:
+    """Summarise the files that a batch stored on ``dates``. Without it they are always read."""
+    paths = [f"{history}/event_date={day}/run={run}/batch_id={batch_id}" for day in dates]
+    stored = spark.read.schema(_STORED).option("basePath", history).parquet(*paths)
+    X.write_summaries(stored, history)
+
+
+def _days(spark: SparkSession, folder: str, first: date, last: date) -> list[str]:
+    """The dates of a range that have a folder."""
+    files, path = _file_system(spark, f"{folder}/event_date=*")
     names = [entry.getPath().getName() for entry in files.globStatus(path) or ()]
     days = sorted(n.partition("=")[2] for n in names)
-    days = [d for d in days if str(first) <= d <= str(last)]
+    return [d for d in days if str(first) <= d <= str(last)]
+
+
+def read_history(spark: SparkSession, history: str, first: date, last: date) -> DataFrame | None:
+    """The stored transactions of a range of dates; of dates that exist only those are listed."""
+    days = _days(spark, history, first, last)
     if not days:
         return None
     paths = [f"{history}/event_date={day}" for day in days]
     return spark.read.schema(_STORED).option("basePath", history).parquet(*paths)
 
 
+def read_history_of(
+    spark: SparkSession, history: str, first: date, last: date, incoming: DataFrame, device_from: date
+) -> DataFrame | None:
+    """``read_history`` without the files that can hold no user of ``incoming``, and none of its devices
+    from ``device_from`` on. Rows of other keys that share a file with one of them are still there."""
+    everything = read_history(spark, history, first, last)
+    if everything is None:
+        return None
+    files = [f[f.rindex("/event_date=") + 1 :] for f in everything.inputFiles()]
+    indexed = _days(spark, X.index_folder(history), first, last)
+    wanted = X.files_with_keys(spark, history, files, indexed, incoming, str(device_from))
+    if len(wanted) == len(files):
+        return everything
+    if not wanted:
+        return None
+    paths = [f"{history}/{name}" for name in wanted]
+    return spark.read.schema(_STORED).option("basePath", history).parquet(*paths)
+
+
 def compact_history(
     spark: SparkSession, history: str, before: date, folders: int = COMPACTED_FOLDERS
 ) -> list[str]:
@@ -176,8 +210,9 @@ def compact_history(
         .parquet(*paths)
         .withColumn("batch_id", F.lit(number))
         .dropDuplicates(["event_date", "run", ID])
-        .hint("rebalance", "event_date")
-        .sortWithinPartitions("event_date", "run", "user_id")
+        # Files of a date hold ranges of user hashes, so that a user is in one of them.
+        .repartitionByRange("event_date", X.key_hash("user_id"))
+        .sortWithinPartitions("event_date", "run", X.key_hash("user_id"))
         .write.partitionBy("event_date", "run", "batch_id")
         .parquet(staging)
     )
@@ -188,7 +223,11 @@ def compact_history(
             raise RuntimeError(f"could not put {folder} in place")
     for path in paths:
         files.delete(make_path(path), True)
+        files.delete(make_path(path.replace(history, X.index_folder(history), 1)), True)
     files.delete(make_path(staging), True)
+    placed = [f"{history}/event_date={day}/run={run}/batch_id={number}" for day, run in merged]
+    merged_rows = spark.read.schema(_STORED).option("basePath", history).parquet(*placed)
+    X.write_summaries(merged_rows, history)
     return sorted({day for day, _ in merged})
 
 
@@ -312,7 +351,7 @@ def process_batch(
 ) -> None:
     """Quarantine, store, compute features, score, alert. Safe to repeat for the same run and batch.
 
-    An id that was stored before is known again if its time lies up to 30 days after the stored one.
+    An id that was stored before is known again if its time is up to 30 days from the stored one.
     """
     spark = batch.sparkSession
     batch = batch.persist()
@@ -329,8 +368,10 @@ def process_batch(
         ).first()
         if span["first"] is None:
             return
-        start = span["first"] - timedelta(days=_LATEST_FRAME_DAYS)
-        known = read_history(spark, stores.history, start, span["last"])
+        reach = timedelta(days=_LATEST_FRAME_DAYS)
+        start = span["first"] - reach
+        latest = span["last"] + min(reach, date.max - span["last"])
+        known = read_history(spark, stores.history, start, latest)
         if known is not None:
             usable = usable.join(_repeats(known, usable, run, batch_id), ID, "left_anti")
         usable = usable.persist()
@@ -338,7 +379,12 @@ def process_batch(
             if usable.isEmpty():
                 return
             append_history(usable, stores.history, batch_id, run)
-            history = read_history(spark, stores.history, start, span["last"])
+            days = usable.select(F.to_date("transaction_timestamp").alias("day")).distinct()
+            index_batch(spark, stores.history, [r["day"] for r in days.collect()], batch_id, run)
+            device_from = span["first"] - timedelta(days=_DEVICE_DAYS + 1)
+            history = read_history_of(
+                spark, stores.history, start, span["last"], usable, device_from
+            )
             # Held while it is counted and used: the history is read and joined once.
             rows = batch_rows(history, usable, merchants).persist()
             try:
