@@ -147,7 +147,7 @@ def test_oversampling_needs_two_classes(spark):
 SMALL = {
     "gbt": {"maxIter": 3, "maxDepth": 3},
     "rf": {"numTrees": 5, "maxDepth": 4},
-    "mlp": {"maxIter": 5},
+    "mlp": {"epochs": 5},
 }
 
 

@@ -455,6 +455,58 @@ def _(fx):
     )
 
 
+_BASE = f"""+base as (select is_fraudulent as label, floor(usd / 5) as band, {HASH} as is_test from tx),
+  rates as (select band, (sum(label) + 1) / (count(*) + 2)::double as rate from base
+            where not is_test group by band),
+  scored as (select label, coalesce(rate, 0.5::double) as score
+             from base left join rates using (band) where is_test),
+  {CURVE}"""
+
+#: Fewer trees than in production, so that three models are trained in reasonable time.
+_COMPARED = {"gbt": {"maxIter": 20}, "rf": {"numTrees": 50}, "mlp": {}}
+
+
+@query(
+    "l09_models_against_bands",
+    f"""{_BASE}, auc as (
+          select round(sum((tp - pos / 2.0::double) * neg) / (max(p) * max(n))::double, 6) as v from curve)
+        select model, v as bands_auc, true as is_better, true as is_good
+        from auc, (values ('gbt'), ('rf'), ('mlp')) as m(model)""",
+    "tx",
+)
+def _(fx):
+    """Held-out ROC-AUC of each model against an independent fit, the fraud rates of bands of the
+    amount: every model must be better than it, and reach 0.95."""
+    features = feature_table(fx)
+    flagged = D.with_split(features)
+    banded = flagged.select(
+        ID, "is_test", F.col(S.LABEL).alias("label"), F.floor(F.col("transaction_amount_usd") / 5).alias("band")
+    )
+    rates = (
+        banded.filter(~F.col("is_test"))
+        .groupBy("band")
+        .agg(((F.sum("label") + 1) / (F.count(F.lit(1)) + 2)).alias("rate"))
+    )
+    known = banded.join(rates, "band", "left").select(
+        ID, "is_test", "label", F.coalesce("rate", F.lit(0.5)).alias("score")
+    )
+    known = materialize(known.filter("is_test"))
+
+    def auc(rows, score):
+        return M.ranking_scores(M.precision_recall_curve(rows, "label", score)).first()["roc_auc"]
+
+    bands = auc(known, "score")
+    found = []
+    for name, settings in _COMPARED.items():
+        scored = L.score(L.train(features, name, settings=settings), features)
+        rows = materialize(known.join(scored.select(ID, "fraud_probability"), ID))
+        reached = auc(rows, "fraud_probability")
+        found.append((name, round(bands, 6), reached > bands, reached >= 0.95))
+    return fx.spark.createDataFrame(
+        found, "model string, bands_auc double, is_better boolean, is_good boolean"
+    )
+
+
 @query(
     "k08_top_importances",
     """select cast(count(*) as bigint) as inputs, true as in_order, true as are_shares
