@@ -16,6 +16,7 @@ from tidemark.plans import features as P
 from tidemark.plans import metrics as M
 from tidemark.plans import models as L
 from tidemark.plans import oversample as O
+from tidemark.plans import similar as A
 from tidemark.queries.features import ENRICHED, SQL
 from tidemark.queries.registry import query
 from tidemark.session import materialize, shared_folder
@@ -327,22 +328,52 @@ def minority_points(fx):
     )
 
 
-@query(
-    "j10_minority_neighbours",
-    """+fraud as (select transaction_id, cast(usd * 100 as bigint) as x, merchant_id as y,
+J10_SQL = """+fraud as (select transaction_id, cast(usd * 100 as bigint) as x, merchant_id as y,
                   epoch_ms(transaction_timestamp) as z from tx where is_fraudulent = 1),
        pairs as (select a.transaction_id as point, b.transaction_id as neighbour,
            row_number() over (partition by a.transaction_id order by
              (a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2, b.transaction_id) as rank
          from fraud a join fraud b on a.transaction_id <> b.transaction_id)
-       select point, cast(rank as integer) as rank, neighbour from pairs where rank <= 5""",
-    "tx",
-)
+       select point, cast(rank as integer) as rank, neighbour from pairs where rank <= 5"""
+
+
+@query("j10_minority_neighbours", J10_SQL, "tx")
 def _(fx):
     found = O.nearest_neighbours(minority_points(fx), pivots=16, block_points=128)
     return found.select("point", "rank", "neighbour")
 
 
+@query("j10_minority_neighbours_default", J10_SQL, "tx")
+def _(fx):
+    """The same with the pivots and blocks that the number of points asks for."""
+    return O.nearest_neighbours(minority_points(fx)).select("point", "rank", "neighbour")
+
+
+@query(
+    "j10_approximate_neighbours",
+    """select count(*) as points, true as is_reached, true as is_measured_truly
+       from tx where is_fraudulent = 1""",
+    "tx",
+)
+def _(fx):
+    """Small leaves, so that trees have something to miss: the recall that was measured on a sample is
+    that of all points, as exact neighbours show, and reaches what was asked for."""
+    points = minority_points(fx)
+    scale = points.agg(*[F.stddev_pop(F.col("vector")[i]).alias(f"s{i}") for i in range(3)]).first()
+    even = F.array(*[F.col("vector")[i] / (scale[i] or 1.0) for i in range(3)])
+    points = materialize(points.withColumn("vector", even))
+    found = A.approximate_neighbours(points, settings=A.Settings(trees=2, leaf=16, block=64))
+    exact = O.nearest_neighbours(points).groupBy("point").agg(
+        F.max("distance").alias("bound"), F.max("rank").alias("others")
+    )
+    true_recall = A.recall_of(found.neighbours, exact)
+    return points.agg(F.count(F.lit(1)).alias("points")).select(
+        "points",
+        F.lit(found.recall >= 0.9).alias("is_reached"),
+        F.lit(abs(found.recall - true_recall) < 0.1).alias("is_measured_truly"),
+    )
+
+
 @query(
     "l03_oversampled_classes",
     f"""select c as is_fraudulent, n as rows from
@@ -357,6 +388,58 @@ def _(fx):
     return rows.groupBy(S.LABEL).agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query(
+    "u04_rows_between_named_ends",
+    f"""select n - f as made, true as between_ends, true as ends_are_near, true as starts_evenly
+        from (select count(*) filter (is_fraudulent = 0) as n, count(*) filter (is_fraudulent = 1) as f
+              from tx where not ({HASH}))""",
+    "tx",
+)
+def _(fx):
+    """Each made row names its start and the neighbour and lies between the two, in every input; the
+    neighbour is one of the five nearest of the start; all starts serve equally often, to one."""
+    prepared = D.prepare(feature_table(fx))
+    train = prepared.train.fillna(0.0, subset=prepared.inputs)
+    rows = materialize(O.oversample(train, prepared.inputs, ID, named=True))
+    vector = F.array(*[F.col(f"`{c}`") for c in prepared.inputs])
+    known = train.filter(F.col(S.LABEL) == 1).select(F.col(ID).cast("string").alias("id"), vector.alias("at"))
+    ends = {
+        name: known.select(F.col("id").alias(f"{name}_id"), F.col("at").alias(name))
+        for name in ("start", "neighbour")
+    }
+    made = (
+        rows.filter(F.col("start_id").isNotNull())
+        .select("start_id", "neighbour_id", "step", vector.alias("made"))
+        .join(ends["start"], "start_id")
+        .join(ends["neighbour"], "neighbour_id")
+    )
+    on_line = F.forall(
+        F.zip_with(
+            "made",
+            F.zip_with("start", "neighbour", lambda a, b: a + F.col("step") * (b - a)),
+            lambda x, y: F.abs(x - y) < 1e-9,
+        ),
+        lambda held: held,
+    ) & F.col("step").between(0, 1)
+    points = materialize(O.distinct_points(known.withColumnRenamed("at", "vector"), "id"))
+    near = O.nearest_neighbours(points).select(
+        F.col("point").alias("start_id"), F.col("neighbour").alias("neighbour_id"), F.lit(True).alias("near")
+    )
+    joined = made.join(near, ["start_id", "neighbour_id"], "left")
+    per_start = joined.groupBy("start_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(on_line).alias("on_line"),
+        F.count_if(F.col("near") | (F.col("start_id") == F.col("neighbour_id"))).alias("near"),
+    ).join(points.select(F.col("point").alias("start_id"), "copies"), "start_id")
+    each = F.col("n") / F.col("copies")
+    return per_start.agg(
+        F.sum("n").alias("made"),
+        (F.sum("on_line") == F.sum("n")).alias("between_ends"),
+        (F.sum("near") == F.sum("n")).alias("ends_are_near"),
+        (F.max(each) - F.min(each) <= 1).alias("starts_evenly"),
+    )
+
+
 @query(
     "u04_oversampled_rows",
     f"""select is_made, is_fraudulent, cast(n as bigint) as rows, cast(n as bigint) as between from
