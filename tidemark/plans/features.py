@@ -20,6 +20,7 @@ from tidemark.functions.scalars import (
     guarded_ratio,
     sample_stddev,
 )
+from tidemark.operators.sketches import FrameApproxDistinct, approximate_distincts
 from tidemark.operators.skew import HEAVY_KEY_ROWS, heavy_keys
 from tidemark.operators.sliding import FrameDistinct, FrameSum, Gap, Measure, Novelty, sliding
 from tidemark.schemas import DAY, DECLINED, HOUR, LONGEST_LOOKBACK, MINUTE
@@ -168,9 +169,16 @@ def _compute(
     payment_methods: DataFrame | None = None,
     heavy_rows: int = HEAVY_KEY_ROWS,
     counted: int | None = None,
+    approx: bool = False,
 ) -> DataFrame:
     by_user = [m for g in groups for m in g.by_user]
     by_device = [m for g in groups for m in g.by_device]
+    estimated: dict[str, list[FrameApproxDistinct]] = {"user_id": [], "device_id": []}
+    if approx:
+        for key, measures in (("user_id", by_user), ("device_id", by_device)):
+            exact = [m for m in measures if isinstance(m, FrameDistinct)]
+            estimated[key] = [FrameApproxDistinct(m.name, m.column, m.seconds) for m in exact]
+            measures[:] = [m for m in measures if m not in exact]
     # Counted on the plain input, so that finding heavy keys reads one column only.
     keys = [k for k, measures in (("user_id", by_user), ("device_id", by_device)) if measures]
     # Where all rows together are no more than a heavy key's, none is heavy.
@@ -190,6 +198,9 @@ def _compute(
         rows = sliding(rows, "user_id", TIME, ROW_ID, by_user, heavy, source=source)
     if by_device:
         rows = sliding(rows, "device_id", TIME, ROW_ID, by_device, heavy, source=source)
+    for key, measures in estimated.items():
+        if measures:
+            rows = approximate_distincts(rows, key, TIME, measures)
 
     derived = {name: column for g in groups for name, column in g.derived().items()}
     outputs = [name for g in groups for name in g.outputs]
@@ -198,9 +209,11 @@ def _compute(
     )
 
 
-def velocity_features(df: DataFrame, heavy_rows: int = HEAVY_KEY_ROWS) -> DataFrame:
+def velocity_features(
+    df: DataFrame, heavy_rows: int = HEAVY_KEY_ROWS, approx: bool = False
+) -> DataFrame:
     """Counts, declines and distinct payment methods over 5 minutes and 1 hour."""
-    return _compute(df, [VELOCITY], heavy_rows=heavy_rows)
+    return _compute(df, [VELOCITY], heavy_rows=heavy_rows, approx=approx)
 
 
 def amount_features(df: DataFrame, heavy_rows: int = HEAVY_KEY_ROWS) -> DataFrame:
@@ -209,17 +222,19 @@ def amount_features(df: DataFrame, heavy_rows: int = HEAVY_KEY_ROWS) -> DataFram
 
 
 def behavioral_features(
-    df: DataFrame, merchants: DataFrame, heavy_rows: int = HEAVY_KEY_ROWS
+    df: DataFrame, merchants: DataFrame, heavy_rows: int = HEAVY_KEY_ROWS, approx: bool = False
 ) -> DataFrame:
     """Time since the last transaction, variety over 24 hours, category novelty over 30 days."""
-    return _compute(df, [BEHAVIOR], merchants=merchants, heavy_rows=heavy_rows)
+    return _compute(df, [BEHAVIOR], merchants=merchants, heavy_rows=heavy_rows, approx=approx)
 
 
 def device_features(
-    df: DataFrame, payment_methods: DataFrame, heavy_rows: int = HEAVY_KEY_ROWS
+    df: DataFrame, payment_methods: DataFrame, heavy_rows: int = HEAVY_KEY_ROWS, approx: bool = False
 ) -> DataFrame:
     """Users and payment methods per device over 24 hours, age of the payment method."""
-    return _compute(df, [DEVICE], payment_methods=payment_methods, heavy_rows=heavy_rows)
+    return _compute(
+        df, [DEVICE], payment_methods=payment_methods, heavy_rows=heavy_rows, approx=approx
+    )
 
 
 def all_features(
@@ -228,9 +243,13 @@ def all_features(
     payment_methods: DataFrame,
     heavy_rows: int = HEAVY_KEY_ROWS,
     counted: int | None = None,
+    approx: bool = False,
 ) -> DataFrame:
     """The input columns, the merchant category and all 20 features.
 
     ``counted`` is the number of transactions where the caller knows it, which may save counting keys.
+    ``approx`` estimates the distinct counts from sketches, here as in each group.
     """
-    return _compute(transactions, ALL_GROUPS, merchants, payment_methods, heavy_rows, counted)
+    return _compute(
+        transactions, ALL_GROUPS, merchants, payment_methods, heavy_rows, counted, approx
+    )

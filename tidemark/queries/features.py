@@ -181,3 +181,27 @@ def features_batch_sliced(fx):
     return all_feature_columns(
         P.all_features(fx.transactions(), fx.merchants(), fx.payment_methods(), heavy_rows=0)
     )
+
+
+DISTINCTS = [n for n in P.FEATURES if "_unique_" in n]
+
+
+@query(
+    "d01_approximate_distincts",
+    "select transaction_id, "
+    + ", ".join(f"{SQL[n]} as {n}, true as {n}_is_near" for n in DISTINCTS)
+    + f" from {ENRICHED}",
+    "txm pm",
+)
+def approximate_distincts(fx):
+    """The exact distinct counts, and whether the estimates are near them: within four standard errors,
+    or off by two."""
+    tables = (fx.transactions(), fx.merchants(), fx.payment_methods())
+    exact = P.all_features(*tables).select("transaction_id", *DISTINCTS)
+    rough = P.all_features(*tables, approx=True)
+    rough = rough.select("transaction_id", *[F.col(n).alias(f"{n}_rough") for n in DISTINCTS])
+    columns = []
+    for n in DISTINCTS:
+        off = F.abs(F.col(n) - F.col(f"{n}_rough"))
+        columns += [n, (off <= F.greatest(F.lit(2.0), F.col(n) * 0.092)).alias(f"{n}_is_near")]
+    return exact.join(rough, "transaction_id").select("transaction_id", *columns)
