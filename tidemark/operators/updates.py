@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 from tidemark.operators.ordering import consecutive
+from tidemark.sources import manifests
 
 
 def methods_to_deactivate(transactions: DataFrame) -> DataFrame:
@@ -38,6 +39,18 @@ def deactivated_rows(payment_methods: DataFrame, methods: DataFrame) -> DataFram
     return payment_methods.join(methods.select("payment_method_id"), "payment_method_id", "left_semi")
 
 
+def deactivate_in_place(spark, table: str, methods: DataFrame) -> int:
+    """Set the listed methods of a table kept by ``sources.manifests`` inactive, rewriting only the files
+    that hold one that is active; the number of rows that changed."""
+    listed = methods.select("payment_method_id").distinct()
+
+    def hit(rows: DataFrame) -> DataFrame:
+        changing = rows.filter(~F.col("payment_is_active").eqNullSafe(0))
+        return changing.join(listed, "payment_method_id", "left_semi")
+
+    return manifests.update(spark, table, hit, lambda rows: deactivate(rows, listed))
+
+
 def append_with_keys(existing: DataFrame, new: DataFrame, key: str, order: list[str]) -> DataFrame:
     """Give new rows the keys after the largest one in use, in the given order.
 

@@ -39,6 +39,44 @@ def precision_recall_curve(
     )
 
 
+def binned_curve(
+    scored: DataFrame, bins: int = 65_536, label: str = "label", score: str = "score"
+) -> DataFrame:
+    """The curve over at most ``bins`` thresholds, the lower ends of equal parts of [0, 1].
+
+    For so many different scores that a row per score is not less than a row per row. Scores outside
+    are taken to the nearest end. ``ranking_bounds`` says how far its scores may be off.
+    """
+    part = F.least(F.greatest(F.floor(F.col(score) * bins), F.lit(0)), F.lit(bins - 1))
+    rows = scored.select(F.col(label).alias("label"), (part / bins).alias("score"))
+    return precision_recall_curve(rows.filter(F.col("score").isNotNull()), "label", "score")
+
+
+def ranking_bounds(curve: DataFrame) -> DataFrame:
+    """ROC-AUC and average precision of a binned curve, and between which values those of the
+    scores themselves lie: ``roc_auc, roc_auc_low, roc_auc_high, avg_precision_low, avg_precision_high``.
+
+    Nothing is known about the order within a bin. With all its positives ahead of its negatives the
+    area is greater by half its pairs, and the other way round it is less by as much. Precision within a
+    bin is at most that after its positives came first, and at least that of the first positive after
+    all its negatives.
+    """
+    tp, fp, pos, neg = (F.col(c).cast("double") for c in ("tp", "fp", "pos", "neg"))
+    positives, negatives = F.sum(pos), F.sum(neg)
+    pairs = F.nullif(positives * negatives, F.lit(0.0))
+    middle, open_pairs = F.sum((tp - pos / 2) * neg) / pairs, F.sum(pos * neg) / 2 / pairs
+    found = F.nullif(positives, F.lit(0.0))
+    least = (tp - pos + 1) / (tp - pos + 1 + fp)
+    most = F.when(pos > 0, tp / F.nullif(tp + fp - neg, F.lit(0.0)))
+    return curve.agg(
+        middle.alias("roc_auc"),
+        (middle - open_pairs).alias("roc_auc_low"),
+        (middle + open_pairs).alias("roc_auc_high"),
+        (F.sum(pos * least) / found).alias("avg_precision_low"),
+        (F.sum(pos * most) / found).alias("avg_precision_high"),
+    )
+
+
 def _share(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 

@@ -211,6 +211,35 @@ def _(fx):
     return M.ranking_scores(curve(fx)).select(F.round("roc_auc", 9).alias("roc_auc"))
 
 
+@query(
+    "a06_binned_ranking",
+    """+bins as (select floor(score * 64) / 64 as bin, sum(label) as pos, sum(1 - label) as neg
+               from scored group by 1),
+       summed as (select *, sum(pos) over (order by bin desc) as tp, sum(pos) over () as p,
+                    sum(neg) over () as n from bins)
+       select round(sum((tp - pos / 2.0::double) * neg) / (max(p) * max(n))::double, 9) as roc_auc,
+              round(sum(pos * neg) / 2.0::double / (max(p) * max(n)), 9) as may_be_off,
+              true as auc_is_between, true as precision_is_between from summed""",
+    "scored",
+)
+def _(fx):
+    """Scores in 64 bins: the area, how far it may be off, and that both exact scores lie within."""
+    bounds = M.ranking_bounds(M.binned_curve(fx.scored(), bins=64))
+    exact = M.ranking_scores(curve(fx)).first()
+    between = {
+        "auc_is_between": ("roc_auc", "roc_auc_low", "roc_auc_high"),
+        "precision_is_between": ("avg_precision", "avg_precision_low", "avg_precision_high"),
+    }
+    return bounds.select(
+        F.round("roc_auc", 9).alias("roc_auc"),
+        F.round(F.col("roc_auc_high") - F.col("roc_auc"), 9).alias("may_be_off"),
+        *[
+            F.lit(exact[value]).between(F.col(low) - 1e-12, F.col(high) + 1e-12).alias(name)
+            for name, (value, low, high) in between.items()
+        ],
+    )
+
+
 @query(
     "a07_average_precision",
     f"+{CURVE} select round(sum(pos * precision) / max(p)::double, 9) as avg_precision from rated",

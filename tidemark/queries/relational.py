@@ -14,6 +14,8 @@ from tidemark.plans import dataset as D
 from tidemark.plans import features as P
 from tidemark.queries.features import ENRICHED, SQL
 from tidemark.queries.registry import query
+from tidemark.session import shared_folder
+from tidemark.sources import manifests
 from tidemark.sources import messages as M
 
 ID = "transaction_id"
@@ -635,6 +637,22 @@ def _(fx):
     return after.select("payment_method_id", "user_id", "payment_is_active")
 
 
+@query(
+    "m01_deactivated_in_place",
+    f"""select payment_method_id, user_id,
+          case when payment_method_id in {TO_DEACTIVATE} then 0 else active end
+            as payment_is_active from pm""",
+    "tx pm",
+)
+def _(fx):
+    """A table kept as a list of files, of which only those with a method to deactivate are replaced."""
+    table = f"{shared_folder(fx.spark, 'methods')}/payment_methods"
+    manifests.create_table(fx.payment_methods().repartitionByRange(8, "payment_method_id"), table)
+    U.deactivate_in_place(fx.spark, table, U.methods_to_deactivate(fx.transactions()))
+    after = manifests.read_table(fx.spark, table)
+    return after.select("payment_method_id", "user_id", "payment_is_active")
+
+
 @query(
     "m01_deactivated_rows",
     f"select payment_method_id from pm where payment_method_id in {TO_DEACTIVATE}",

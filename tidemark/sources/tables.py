@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import datetime
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +39,57 @@ def read_jdbc(
     )
 
 
+def _literal(value) -> str:
+    if isinstance(value, (int, float, Decimal)) and not isinstance(value, bool):
+        return str(value)
+    text = str(value).replace("'", "''")
+    return f"TIMESTAMP '{text}'" if isinstance(value, datetime) else f"'{text}'"
+
+
+def range_predicates(column: str, borders: Sequence) -> list[str]:
+    """Conditions that together hold for every row once: up to each border, beyond the last, NULLs first."""
+    borders = sorted(set(b for b in borders if b is not None))
+    if not borders:
+        return ["1 = 1"]
+    first, *rest = map(_literal, borders)
+    ranges = [f"{column} <= {first} OR {column} IS NULL"]
+    for low, high in zip([first, *rest], rest):
+        ranges.append(f"{column} > {low} AND {column} <= {high}")
+    return [*ranges, f"{column} > {[first, *rest][-1]}"]
+
+
+def quantile_query(table: str, column: str, partitions: int) -> str:
+    """A subquery for the source: the greatest value of each of so many equally filled parts."""
+    parts = f"SELECT {column} AS v, NTILE({partitions}) OVER (ORDER BY {column}) AS part"
+    return (
+        f"(SELECT part, MAX(v) AS border FROM ({parts} FROM {table} WHERE {column} IS NOT NULL) ranked"
+        " GROUP BY part) borders"
+    )
+
+
+def read_jdbc_balanced(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    column: str,
+    partitions: int,
+    properties: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """A database table read by up to ``partitions`` tasks of about as many rows each, however unevenly
+    the column's values lie: the ranges end at the source's own quantiles. Rows of one value stay
+    together, so a value with more rows than a share makes fewer, larger parts.
+    """
+    if partitions < 2:
+        return read_jdbc(spark, url, table, properties)
+    query = quantile_query(table, column, partitions)
+    found = spark.read.jdbc(url, query, properties=dict(properties or {})).collect()  # a row per part
+    # The last part's greatest value is no border: what is added meanwhile belongs to it.
+    borders = sorted(r["border"] for r in found)[:-1]
+    return spark.read.jdbc(
+        url, table, predicates=range_predicates(column, borders), properties=dict(properties or {})
+    )
+
+
 def write_jdbc(
     df: DataFrame,
     url: str,

@@ -22,11 +22,13 @@ from pyspark.sql import types as T
 from tidemark import schemas as S
 from tidemark.operators.access import HISTORY_COLUMNS
 from tidemark.operators.skew import HEAVY_KEY_ROWS
-from tidemark.operators.updates import append_with_keys
+from tidemark.operators.ordering import consecutive
 from tidemark.plans.features import all_features, with_merchant_category
 from tidemark.plans.models import alert_threshold, score
+from tidemark.sources import files
 from tidemark.sources import messages as M
 from tidemark.streaming import history_index as X
+from tidemark.streaming import leases, outbox
 
 ID = "transaction_id"
 _LATEST_FRAME_DAYS = S.LONGEST_LOOKBACK // S.DAY
@@ -414,14 +416,25 @@ def stored_alerts(spark: SparkSession, alerts: str) -> DataFrame | None:
 
 
 def with_alert_ids(found: DataFrame, alerts: str, run: str, batch_id: int) -> DataFrame:
-    """Alert records with the ids after the largest one that other batches stored, so that a batch
-    that is run again gives the same ids. One run at a time may write to an alert table."""
-    known = stored_alerts(found.sparkSession, alerts)
-    if known is None:
-        known = found.select(F.lit(None).cast("bigint").alias("alert_id")).limit(0)
-    else:
-        known = known.filter((F.col("run") != run) | (F.col("batch_id") != batch_id))
-    numbered = append_with_keys(known, found, "alert_id", [ID])
+    """Alert records with consecutive ids that no other batch or run has, however many write at once;
+    a batch that is run again gives the same ids to as many alerts.
+
+    Ids are leased; only the first lease of a table looks at what is stored already.
+    """
+    spark = found.sparkSession
+    found = found.persist()
+    try:
+        count = found.count()
+        start = 1
+        if not files.names_in(spark, f"{alerts}/_ids/ranges"):
+            known = stored_alerts(spark, alerts)
+            if known is not None:
+                others = (F.col("run") != run) | (F.col("batch_id") != batch_id)
+                start = (known.filter(others).agg(F.max("alert_id")).first()[0] or 0) + 1
+        first = leases.lease(spark, f"{alerts}/_ids", f"{run}-{batch_id}", count, start) if count else 1
+        numbered = consecutive(found, "alert_id", [ID], start=first)
+    finally:
+        found.unpersist()
     return numbered.select(*[F.col(f.name).cast(f.dataType) for f in S.FRAUD_ALERTS.fields])
 
 
@@ -434,7 +447,8 @@ def emit(
     run: str = FIRST_RUN,
     batch_id: int = 0,
 ) -> None:
-    """Store the features of a batch, score them, store the alerts and hand them to ``publish``."""
+    """Store the features of a batch, score them, store the alerts and hand them to ``publish``, which is
+    not called again for a batch that was handed over before."""
     folder = f"run={run}/batch_id={batch_id}"
     if stores.features:
         path = f"{stores.features}/{folder}"
@@ -448,7 +462,8 @@ def emit(
     path = f"{stores.alerts}/{folder}"
     found.write.mode("overwrite").parquet(path)
     if publish is not None:
-        publish(found.sparkSession.read.schema(found.schema).parquet(path))
+        stored = found.sparkSession.read.schema(found.schema).parquet(path)
+        outbox.publish_once(stored, stores.alerts, run, batch_id, publish)
 
 
 def start_scoring(
