@@ -423,12 +423,114 @@ def test_pipeline(spark, tmp_path):
 
 
 def test_pipeline_stages_on_odd_rows(spark):
+    """Row by row: rows that share an id or have none fare as their own texts do."""
     import corpus_pipeline as P
 
     docs = odd_docs(spark)
     assert P.language_stage(spark, docs, SF).where("doc_id in (4, 5, 6, 9)").count() == 0
-    assert P.dedup_stage(spark, docs, SF).where("doc_id in (2, 3)").count() == 0
-    twice = P.dedup_stage(spark, docs.where("doc_id = 3"), SF)
-    assert twice.count() == 1 and twice.columns == docs.columns
-    assert P.dedup_stage(spark, empty(spark), SF).count() == 0
-    assert P.packing_stage(spark, empty(spark), SF).count() == 0
+    left = P.dedup_stage(spark, docs, SF)
+    assert left.where("doc_id in (1, 2, 3)").count() == 1 and left.columns == docs.columns
+    assert left.where("doc_id is null").count() == 2 and left.where("doc_id in (7, 8)").count() == 1
+    shared = spark.createDataFrame(
+        [(1, "some words that only this row has"), (1, "other words which no other row ever had"), (1, "5 . ; !")],
+        "doc_id long, text string",
+    )
+    assert P.dedup_stage(spark, shared, SF).count() == 3
+    learned = docs.select("doc_id", "text", "lang").unionByName(shared.withColumn("lang", F.lit("en")))
+    assert P.language_stage(spark, learned, SF).where("doc_id = 1 and lang = 'en'").count() == 3
+    for stage in (P.quality_stage, P.language_stage, P.dedup_stage, P.packing_stage):
+        assert stage(spark, empty(spark), SF).count() == 0
+    kept = P.quality_stage(spark, docs, SF)
+    assert kept.columns == docs.columns and kept.count() <= docs.count()
+
+
+BIG = 2**53 + 1
+
+
+def test_long_ids_beside_null_ones(spark):
+    """Ids that doubles can't hold come back as they are."""
+    import public_tokenizers
+
+    texts = [(BIG, "ein Text mit Worten"), (None, "some other text"), (BIG + 2, "ein Text mit Worten"), (7, None)]
+    docs = spark.createDataFrame([(*r, "de") for r in texts], "doc_id long, text string, lang string").coalesce(1)
+    labels = spark.createDataFrame([(7, 1)], "doc_id long, quality int")
+    want = sorted((r[0] for r in texts), key=str)
+    settings = scoring.Settings(classes=4, places=8, shared=4, width=6, rounds=1, every=1, batch=64)
+    for rows in (
+        minhash.near_duplicates(docs),
+        quality.quality(docs, labels),
+        language.languages(docs),
+        fingerprints.compared(docs),
+        fingerprints.fingerprints(docs),
+        scoring.scored(docs, settings),
+        bpe.digests(docs, public_tokenizers.path("word_bpe_49k.json")),
+        bpe.encoded(docs, public_tokenizers.path("word_bpe_49k.json")),
+    ):
+        assert sorted((r["doc_id"] for r in rows.collect()), key=str) == want
+    linked = {r["doc_id"]: r for r in minhash.near_duplicates(docs).collect()}
+    assert linked[BIG + 2]["component_id"] == BIG and not linked[BIG + 2]["kept"]
+    pages = docs.select(F.col("doc_id").alias("page_id"), F.lit("u").alias("url"), F.col("text").alias("html"))
+    assert sorted((r["page_id"] for r in extraction.extracted(pages).collect()), key=str) == want
+    near = [[1.0, 0.1, 0.0, 2.0], [1.0, 0.1, 0.01, 2.0]]
+    rows = [(BIG, near[0]), (None, near[0]), (0, near[1]), (5, None)]
+    vecs = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    got = {r["vec_id"]: tuple(r)[1:] for r in vectors.near_vectors(vecs).collect()}
+    assert got == {BIG: (1, 0, False), 0: (1, 0, True), None: (0, None, True), 5: (0, 5, True)}
+
+
+def test_texts_that_share_an_id_are_linked(spark):
+    rng = random.Random(12)
+    a, b, c = ([f"{x}{rng.randrange(999)}" for _ in range(60)] for x in "abc")
+    rows = [(1, a), (1, b), (2, a[:-1] + ["z"]), (3, b[:-1] + ["z"]), (4, c), (9, c), (9, a), (1, a), (5, [])]
+    rows = [(i, " ".join(t)) for i, t in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(docs).collect()}
+    assert got == {(1, 1, True), (2, 1, False), (3, 1, False), (4, 1, False), (9, 1, False), (5, 5, True)}
+    assert minhash.near_duplicates(docs).count() == len(rows)
+
+
+def test_vectors_that_share_an_id_are_linked(spark):
+    rng = np.random.default_rng(13)
+    a, b = rng.normal(size=(2, 16))
+    rows = [(1, a), (1, b), (2, a + 0.01), (3, b + 0.01), (3, b + 0.01), (4, a), (1, a), (6, -a)]
+    rows = [(i, list(map(float, v))) for i, v in rows]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, vectors.near_vectors(df).collect()))
+    want = [(1, 1, 1, True), (1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False)]
+    assert got == [*want, (3, 1, 1, False), (3, 1, 1, False), (4, 2, 1, False), (6, 0, 6, True)]
+
+
+def test_related_languages_by_votes(spark):
+    """Three languages of one family against a plain vote over machines fitted pair by pair."""
+    rng = np.random.default_rng(14)
+    words = {lang: [f"{lang}{i}"[::-1] + "en" for i in range(30)] for lang in ("da", "nb", "sv")}
+    common = [f"ord{i}" for i in range(30)]
+    rows = [
+        (i, " ".join(rng.choice(common + words[lang], 12)), lang)
+        for i, lang in enumerate(np.repeat(["da", "nb", "sv"], 60))
+    ]
+    docs = spark.createDataFrame([(i, str(t), str(x)) for i, t, x in rows], "doc_id long, text string, lang string")
+    settings = language.Settings(steps=60)
+    model = language.train(docs, settings)
+    machines = model.members["germanic"]
+    assert set(model.members) == {"germanic"} and len(machines.pairs) == 3
+    texts = [" ".join(rng.choice(common + words["nb"] + words["sv"], 8)) for _ in range(80)]
+    x = np.stack([language.profile(t, settings) for t in texts])
+    want = []
+    for row in x:
+        votes, sums = dict.fromkeys(machines.names, 0), dict.fromkeys(machines.names, 0.0)
+        for k, (a, b) in enumerate(machines.pairs):
+            margin = float(row @ machines.weights[:, k] + machines.bias[k])
+            votes[machines.names[a if margin >= 0 else b]] += 1
+            sums[machines.names[a]] += margin
+            sums[machines.names[b]] -= margin
+        want.append(max(machines.names, key=lambda n: (votes[n], sums[n])))
+    assert model.predict(texts)[0] == want
+    # each machine is what its two languages alone give
+    fold = [(t, lang) for i, t, lang in rows if __import__("zlib").crc32(str(i).encode()) % 4 != 2]
+    sample = np.stack([language.profile(t, settings).astype(np.float16) for t, _ in fold]).astype(np.float32)
+    langs = np.array([lang for _, lang in fold])
+    for k, (a, b) in enumerate(machines.pairs):
+        own = np.isin(langs, [machines.names[a], machines.names[b]])
+        alone = language.fit_machines(sample[own], langs[own], settings)
+        assert np.allclose(alone.weights[:, 0], machines.weights[:, k], atol=1e-3)

@@ -17,6 +17,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import map_with_id
+
 #: Fixed values of the vocabulary format: white space of the normaliser, words of the splitter.
 SPACE = r"\t-\r \x85\xa0  -     　"
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^" + SPACE + r"\p{L}\p{N}]+"
@@ -211,9 +213,8 @@ def encoded(docs: DataFrame, path: str, with_ids: bool = True) -> DataFrame:
                 decoded.append(text)
             yield pd.DataFrame({"doc_id": batch["doc_id"], "ids": ids, "decoded": decoded})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
-        run, "doc_id long, ids array<int>, decoded string"
-    )
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return map_with_id(rows, run, "doc_id long, ids array<int>, decoded string")
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
@@ -234,8 +235,9 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
             out.insert(0, "doc_id", batch["doc_id"].to_numpy())
             yield out
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return map_with_id(
+        rows, run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )
 
 

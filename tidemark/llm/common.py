@@ -41,6 +41,17 @@ def keep(df: DataFrame) -> DataFrame:
     return kept
 
 
+def map_with_id(rows: DataFrame, run, schema: str, name: str = "doc_id") -> DataFrame:
+    """``rows.mapInPandas(run, schema)`` with the long column ``name`` as text inside: beside a null,
+    pandas would turn it into doubles, which don't hold large ids."""
+    found = rows.withColumn(name, F.col(name).cast("string")).mapInPandas(
+        run, schema.replace(f"{name} long", f"{name} string", 1)
+    )
+    return found.select(
+        *[F.col(c).cast("long").alias(c) if c == name else F.col(c) for c in found.columns]
+    )
+
+
 def discard(*kept: DataFrame) -> None:
     """Delete tables written by ``keep`` that no returned frame reads any more."""
     for df in kept:

@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import map_with_id
+
 #: Fixed values of the markup language.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set(
@@ -229,6 +231,5 @@ def extracted(pages: DataFrame, settings: Settings = Settings()) -> DataFrame:
                 }
             )
 
-    return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInPandas(
-        run, "page_id long, url string, text string, n_chars long"
-    )
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
+    return map_with_id(rows, run, "page_id long, url string, text string, n_chars long", "page_id")

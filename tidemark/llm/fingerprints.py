@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import keep
+from tidemark.llm.common import keep, map_with_id
 from tidemark.llm.shingles import mix
 
 
@@ -192,9 +192,8 @@ def fingerprints(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
             marks = [written(m) for m in signatures(list(batch["text"]), settings)]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "fingerprint": marks})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
-        run, "doc_id long, fingerprint string"
-    )
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return map_with_id(rows, run, "doc_id long, fingerprint string")
 
 
 CELLS = 512
@@ -253,7 +252,8 @@ def compared(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     placed = rows.withColumn("guest", F.lit(0)).unionByName(guests)
     order = ["stretch", "guest", F.col("doc_id").desc_nulls_last(), "text"]
     together = placed.repartition("stretch").sortWithinPartitions(*order)
-    return together.mapInPandas(
+    return map_with_id(
+        together,
         _compare(settings),
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string,"
         " edited_fingerprint string, near_edited double, near_next double",
@@ -310,7 +310,7 @@ def _compare(settings: Settings):
             out = pd.DataFrame(
                 [
                     (
-                        rows[i][0] if rows[i][0] == rows[i][0] else None,
+                        rows[i][0],
                         len(texts[i]),
                         hashlib.sha256(c.encode("utf-8", "surrogatepass")).hexdigest(),
                         written(own[i]),
@@ -322,7 +322,6 @@ def _compare(settings: Settings):
                 ],
                 columns=columns.split(),
             )
-            out["doc_id"] = out["doc_id"].astype("Int64")
             yield out
 
     return run

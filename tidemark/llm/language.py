@@ -1,4 +1,4 @@
-"""Language by hierarchical discrimination: the family first, then its members one against the rest.
+"""Language by hierarchical discrimination: the family first, then its members one against one.
 
 Linear support vector machines (squared hinge) on hashed byte sequences of the lower-cased letters.
 """
@@ -14,7 +14,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import held_out
+from tidemark.llm.common import held_out, map_with_id
 
 UNDETERMINED = "und"
 #: Language codes by family. A code that is not listed is a family of its own.
@@ -75,7 +75,7 @@ def has_letter(text: str | None) -> bool:
 
 @dataclass(frozen=True)
 class Machines:
-    """One-versus-rest margins ``x @ weights + bias`` for ``names``."""
+    """One-versus-rest margins ``x @ weights + bias`` for ``names``, which tell families apart."""
 
     names: tuple[str, ...]
     weights: np.ndarray
@@ -109,10 +109,51 @@ def fit_machines(x: np.ndarray, labels: np.ndarray, settings: Settings) -> Machi
     return Machines(names, weights, bias)
 
 
+@dataclass(frozen=True)
+class Pairs:
+    """A machine for each two of ``names``; a positive margin is a vote for the first of the two."""
+
+    names: tuple[str, ...]
+    pairs: tuple[tuple[int, int], ...]
+    weights: np.ndarray
+    bias: np.ndarray
+
+    def chosen(self, x: np.ndarray, sharpness: float) -> tuple[np.ndarray, np.ndarray]:
+        """The name with the most votes, ties by summed margins, then by order; and its share of the
+        summed margins, between 0 and 1."""
+        if len(self.names) == 1:
+            return np.zeros(len(x), int), np.ones(len(x))
+        margins = x @ self.weights + self.bias
+        votes = np.zeros((len(x), len(self.names)))
+        sums = np.zeros_like(votes)
+        for k, (a, b) in enumerate(self.pairs):
+            votes[:, a] += margins[:, k] >= 0
+            votes[:, b] += margins[:, k] < 0
+            sums[:, a] += margins[:, k]
+            sums[:, b] -= margins[:, k]
+        ahead = np.where(votes == votes.max(axis=1, keepdims=True), sums, -np.inf)
+        best = ahead.argmax(axis=1)
+        exp = np.exp(sharpness * (sums - sums.max(axis=1, keepdims=True)) / (len(self.names) - 1))
+        return best, exp[np.arange(len(x)), best] / exp.sum(axis=1)
+
+
+def fit_pairs(x: np.ndarray, labels: np.ndarray, settings: Settings) -> Pairs:
+    """One against one: each machine sees the rows of its two languages only."""
+    names = tuple(sorted(set(labels.tolist())))
+    pairs = tuple((a, b) for b in range(len(names)) for a in range(b))
+    weights = np.zeros((x.shape[1], len(pairs)), np.float32)
+    bias = np.zeros(len(pairs), np.float32)
+    for k, (a, b) in enumerate(pairs):
+        own = (labels == names[a]) | (labels == names[b])
+        machine = fit_machines(x[own], labels[own], settings)  # its first column is for names[a]
+        weights[:, k], bias[k] = machine.weights[:, 0], machine.bias[0]
+    return Pairs(names, pairs, weights, bias)
+
+
 @dataclass(frozen=True)
 class Model:
     families: Machines | None
-    members: dict[str, Machines]
+    members: dict[str, Pairs]
     settings: Settings
 
     def predict(self, texts) -> tuple[list[str], list[float]]:
@@ -128,12 +169,10 @@ class Model:
                 if not len(inside):
                     continue
                 machines = self.members[family]
-                within = machines.shares(x[inside], self.settings.sharpness)
-                for r, pick in zip(inside, within.argmax(axis=1)):
+                picks, within = machines.chosen(x[inside], self.settings.sharpness)
+                for r, pick, share in zip(inside, picks, within):
                     names[rows[r]] = machines.names[pick]
-                scores_in = shares[inside, k] * within.max(axis=1)
-                for r, s in zip(inside, scores_in):
-                    scores[rows[r]] = float(s)
+                    scores[rows[r]] = float(shares[r, k] * share)
         return names, scores
 
 
@@ -168,7 +207,7 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> Model:
     langs = sample["lang"].to_numpy()
     families = np.array([family_of(x) for x in langs])
     members = {
-        name: fit_machines(x[families == name], langs[families == name], settings)
+        name: fit_pairs(x[families == name], langs[families == name], settings)
         for name in sorted(set(families.tolist()))
     }
     return Model(fit_machines(x, families, settings), members, settings)
@@ -187,9 +226,20 @@ def apply(model: Model, docs: DataFrame) -> DataFrame:
                 }
             )
 
-    return docs.select(
+    rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text"
-    ).mapInPandas(predict, "doc_id long, held_out boolean, lang_pred string, score double")
+    )
+    return map_with_id(rows, predict, "doc_id long, held_out boolean, lang_pred string, score double")
+
+
+def language_of_text(model: Model):
+    """A function of a column of whole texts: their languages."""
+
+    @F.pandas_udf("string")
+    def predict(texts: pd.Series) -> pd.Series:
+        return pd.Series(model.predict(texts.to_numpy())[0], dtype=object)
+
+    return predict
 
 
 def languages(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:

@@ -20,7 +20,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, discard, group_bounds, keep, sent_ids, whole_groups
+from tidemark.llm.common import (
+    components,
+    discard,
+    group_bounds,
+    keep,
+    map_with_id,
+    sent_ids,
+    whole_groups,
+)
 from tidemark.llm.shingles import WordNames, hash_keys, minima, mix, shingle_names, words_of
 
 BITS = 2
@@ -111,17 +119,29 @@ def _signer(settings: Settings):
 
 
 def signatures(docs: DataFrame, settings: Settings) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
+    return map_with_id(
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"),
         _signer(settings),
         "doc_id long, n_shingles long, class binary, bands array<long>, signature binary",
     )
 
 
+def _with_class(docs: DataFrame) -> DataFrame:
+    """``class, text`` as ``signatures`` names classes."""
+
+    def name(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            classes = [xxhash.xxh3_128_digest(b" ".join(words_of(t))) for t in batch["text"]]
+            yield pd.DataFrame({"class": classes, "text": batch["text"]})
+
+    return docs.select("text").mapInPandas(name, "class binary, text string")
+
+
 class _Block:
     """The members of one pair of blocks and the candidate pairs this bucket is to answer for."""
 
     def __init__(self, rows: pd.DataFrame, settings: Settings):
-        self.ids = rows["doc_id"].to_numpy()
+        self.ids = rows["node"].to_numpy()
         sizes = rows["n_shingles"].to_numpy()
         signature = np.frombuffer(b"".join(rows["signature"]), np.uint64).reshape(len(rows), -1)
         bands = np.stack(rows["bands"].to_numpy())
@@ -217,43 +237,63 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 
     Documents are linked when 100 * |A n B| >= percent * |A u B| for their sets of word shingles;
     ``component_id`` is the smallest id reachable by links and ``kept`` marks that document.
-    Texts that are null, empty or blank have no shingles and link with nothing. Rows that repeat a
-    doc_id are one document and come back as often as they were given. A null doc_id has no
-    identity: such a row links with nothing, its component is null, and it is kept. Other columns
-    are ignored. Sets are compared by 64-bit shingle names.
+    Texts that are null, empty or blank have no shingles and link with nothing. Other rows that share
+    a doc_id are one document, linked by whatever one of their texts is linked to, and come back as
+    often as they were given. A null doc_id has no identity: such a row links with nothing, its
+    component is null, and it is kept. Other columns are ignored. Sets are compared by 64-bit
+    shingle names.
     """
-    signed = keep(signatures(docs, settings))
+    # A row's number, written with it, stands for its class where it comes first.
+    signed = keep(signatures(docs, settings).withColumn("node", F.monotonically_increasing_id()))
     known = signed.where(F.col("class").isNotNull() & F.col("doc_id").isNotNull())
+    first = F.min(F.struct("doc_id", "node")).alias("first")
     # Kept by itself, so that the join may split the rows of a large class.
     classes = keep(
         known.groupBy("class")
-        .agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
+        .agg(first, F.count(F.lit(1)).alias("copies"))
         .where("copies > 1")
-        .drop("copies")
+        .select("class", F.col("first.node").alias("first_node"))
     )
     members = keep(
-        signed.select("doc_id", "n_shingles", "class")
+        signed.select("doc_id", "n_shingles", "class", "node")
         .join(classes, "class", "left")
         .select(
             "doc_id",
             "n_shingles",
-            F.when(F.col("doc_id").isNotNull(), F.coalesce("first_id", "doc_id")).alias("first_id"),
+            F.when(
+                F.col("doc_id").isNotNull() & F.col("class").isNotNull(), F.coalesce("first_node", "node")
+            ).alias("first_node"),
         )
     )
-    first = (
-        members.where((F.col("doc_id") == F.col("first_id")) & (F.col("n_shingles") > 0))
-        .select("doc_id")
-        .distinct()
+    singles = known.join(
+        members.select(F.col("first_node").alias("node")).where("node is not null").distinct(), "node", "left_semi"
+    )
+    narrow = keep(singles.select("node", "doc_id", "class", "n_shingles", "bands", "signature"))
+    # Different texts of one id are one document.
+    one_id = (
+        members.where("first_node is not null")
+        .groupBy("doc_id")
+        .agg(F.min("first_node").alias("a"), F.max("first_node").alias("z"))
+        .where("a < z")
+        .select("doc_id", "a")
     )
-    singles = known.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    narrow = keep(singles.select("doc_id", "n_shingles", "bands", "signature"))
-    linked = components(_links(docs, narrow, settings))
-    result = members.join(
-        linked.withColumnRenamed("node", "first_id"), "first_id", "left"
-    ).select(
+    same = members.join(one_id, "doc_id").select("a", F.col("first_node").alias("b")).where("a <> b")
+    linked = keep(components(_links(docs, narrow, settings).unionByName(same)))
+    # The smallest id of every component that links more than one class.
+    smallest = (
+        narrow.select(F.col("node"), "doc_id")
+        .join(linked, "node")
+        .groupBy("component")
+        .agg(F.min("doc_id").alias("component_id"))
+    )
+    reached = linked.join(smallest, "component").select("node", "component_id")
+    named = narrow.join(reached, "node", "left").select(
+        F.col("node").alias("first_node"), F.coalesce("component_id", "doc_id").alias("class_id")
+    )
+    result = members.join(named, "first_node", "left").select(
         "doc_id",
         "n_shingles",
-        F.coalesce("component", "first_id").alias("component_id"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("component_id"),
     )
     discard(signed)
     return result.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
@@ -261,7 +301,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 
 def _links(docs: DataFrame, singles: DataFrame, settings: Settings) -> DataFrame:
     """Confirmed links between classes: a spanning forest of every block."""
-    places = singles.select("doc_id", F.explode("bands").alias("bucket"))
+    places = singles.select("node", F.explode("bands").alias("bucket"))
     shared = (
         places.groupBy("bucket")
         .agg(F.count(F.lit(1)).alias("size"))
@@ -269,28 +309,37 @@ def _links(docs: DataFrame, singles: DataFrame, settings: Settings) -> DataFrame
         .withColumn("blocks", F.ceil(F.col("size") / settings.block).cast("int"))
         .drop("size")
     )
-    side = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
+    side = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     blocks = (
         places.join(shared, "bucket")
         .withColumn("side", side)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("i", F.least("side", "other"))
         .withColumn("j", F.greatest("side", "other"))
-        .select("bucket", "i", "j", "side", "doc_id")
-        .join(singles, "doc_id")
-        .select("bucket", "i", "j", "side", "doc_id", "n_shingles", "signature", "bands")
+        .select("bucket", "i", "j", "side", "node")
+        .join(singles, "node")
+        .select("bucket", "i", "j", "side", "node", "n_shingles", "signature", "bands")
     )
     sorted_blocks = blocks.repartition(*_BLOCK_KEYS).sortWithinPartitions(*_BLOCK_KEYS)
     taking_part = keep(sorted_blocks.mapInPandas(_participants(settings), sorted_blocks.schema))
-    wanted = keep(taking_part.select("doc_id").distinct())
+    # Texts are fetched by id, and told apart by class where an id has several.
+    wanted = keep(
+        singles.select("node", "doc_id", "class").join(
+            taking_part.select("node").distinct(), "node", "left_semi"
+        )
+    )
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
+        sent_ids(keep(wanted.select("doc_id").distinct())), "doc_id", "left_semi"
+    )
     texts = keep(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .join(sent_ids(wanted), "doc_id", "left_semi")
-        .dropDuplicates(["doc_id"])
+        _with_class(found)
+        .join(wanted.select("node", "class"), "class")
+        .select("node", "text")
+        .dropDuplicates(["node"])
     )
     with_text = (
-        taking_part.join(texts, "doc_id")
+        taking_part.join(texts, "node")
         .repartition(*_BLOCK_KEYS)
-        .sortWithinPartitions(*_BLOCK_KEYS, "doc_id")
+        .sortWithinPartitions(*_BLOCK_KEYS, "node")
     )
     return with_text.mapInPandas(_confirmed(settings), "a long, b long")

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import held_out, keep
+from tidemark.llm.common import held_out, keep, map_with_id
 
 FEATURES = (
     "upper lower digit high newline stop_comma exclaim question bar bracket other_symbol"
@@ -105,9 +105,13 @@ def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def described(docs: DataFrame) -> DataFrame:
-    return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text"
-    ).mapInPandas(_describe, "doc_id long, held_out boolean, features array<float>")
+    return map_with_id(
+        docs.select(
+            F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text"
+        ),
+        _describe,
+        "doc_id long, held_out boolean, features array<float>",
+    )
 
 
 @dataclass(frozen=True)
@@ -240,6 +244,28 @@ def quality(docs: DataFrame, labels: DataFrame, settings: Settings = Settings())
     every score is 1. Repeated rows come back repeated. Other columns are ignored.
     """
     rows = keep(described(docs))
+    model = _fitted(rows, labels, settings)
+    return rows.select("doc_id", "held_out", _scorer(model)("features").alias("score")).withColumn(
+        "predicted", (F.col("score") >= settings.accept).cast("int")
+    )
+
+
+def fitted(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
+    """The classifier that ``quality`` scores by."""
+    return _fitted(keep(described(docs)), labels, settings)
+
+
+def score_of_text(model: Model):
+    """A function of a column of whole texts: their scores."""
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        return pd.Series(model.score(np.stack([features_of(t) for t in texts]).astype(float)))
+
+    return score
+
+
+def _fitted(rows: DataFrame, labels: DataFrame, settings: Settings) -> Model:
     trusted = (
         labels.groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.min("quality").alias("least"))
@@ -251,8 +277,4 @@ def quality(docs: DataFrame, labels: DataFrame, settings: Settings = Settings())
         .join(trusted, "doc_id", "left")
         .select("doc_id", F.coalesce("trusted", F.lit(False)).alias("trusted"), "features")
     )
-    learning = keep(learning)
-    model = train(learning, settings)
-    return rows.select("doc_id", "held_out", _scorer(model)("features").alias("score")).withColumn(
-        "predicted", (F.col("score") >= settings.accept).cast("int")
-    )
+    return train(keep(learning), settings)

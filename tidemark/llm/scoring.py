@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import discard, keep
+from tidemark.llm.common import discard, keep, map_with_id
 from tidemark.llm.shingles import words_of
 
 
@@ -108,9 +108,8 @@ def _tokenised(docs: DataFrame, own: dict[bytes, int], settings: Settings) -> Da
             ]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "tokens": ids})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
-        run, "doc_id long, tokens binary"
-    )
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return map_with_id(rows, run, "doc_id long, tokens binary")
 
 
 # --- network ------------------------------------------------------------------------------------
@@ -348,7 +347,7 @@ def apply(network: Network, tokens: DataFrame) -> DataFrame:
                 sums += np.bincount(owner[start : start + 16_384], logs, len(ids))
             yield pd.DataFrame({"doc_id": ids, "n_tokens": lengths, "log_prob": sums})
 
-    scored = tokens.mapInPandas(run, "doc_id long, n_tokens long, log_prob double")
+    scored = map_with_id(tokens, run, "doc_id long, n_tokens long, log_prob double")
     mean = F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens"))
     return scored.withColumn("mean_log_prob", mean).withColumn("perplexity", F.exp(-mean))
 

@@ -18,7 +18,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, discard, group_bounds, keep, whole_groups
+from tidemark.llm.common import (
+    components,
+    discard,
+    group_bounds,
+    keep,
+    map_with_id,
+    whole_groups,
+)
 from tidemark.llm.shingles import mix
 
 _BLOCK_KEYS = ["bucket", "i", "j"]
@@ -105,11 +112,16 @@ def _valid(vector) -> bool:
 
 
 def _describer(settings: Settings):
+    """Every row, those that link with nothing without a class."""
+
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             valid = batch["vec_id"].notna().to_numpy() & np.array(
                 [_valid(v) for v in batch["embedding"]], bool
             )
+            other = batch.loc[~valid, ["vec_id"]]
+            if len(other):
+                yield other.assign(**{"class": None, "vector": None, "names": None})
             good = batch[valid]
             lengths = good["embedding"].map(len)
             for dims in sorted(lengths.unique()):
@@ -121,7 +133,7 @@ def _describer(settings: Settings):
                     names = buckets(scaled / np.linalg.norm(scaled, axis=1, keepdims=True), settings)
                     yield pd.DataFrame(
                         {
-                            "vec_id": part["vec_id"].to_numpy().astype(np.int64),
+                            "vec_id": part["vec_id"].to_numpy(),
                             "class": [xxhash.xxh3_128_digest((v + 0.0).tobytes()) for v in vectors],
                             "vector": [v.tobytes() for v in scaled],
                             "names": [n.view(np.int64).ravel() for n in names],
@@ -135,7 +147,7 @@ class _Block:
     """Links of one pair of blocks of a bucket that this bucket is to answer for."""
 
     def __init__(self, rows: pd.DataFrame, settings: Settings):
-        self.ids = rows["vec_id"].to_numpy()
+        self.ids = rows["node"].to_numpy()
         self.sizes = rows["copies"].to_numpy()
         vectors = np.frombuffer(b"".join(rows["vector"])).reshape(len(rows), -1)
         norms = np.linalg.norm(vectors, axis=1)
@@ -225,59 +237,74 @@ def near_vectors(vectors: DataFrame, settings: Settings = Settings()) -> DataFra
     Vectors are linked when their cosine is at least ``cosine``, in double precision. Null, empty and
     zero vectors and those with a null, NaN or infinite component link with nothing, as do vectors of
     different length among each other. Rows with a null vec_id link with nothing, have a null
-    component and are kept. Rows that repeat a vec_id with an equal vector are one vector and come
-    back repeated. Other columns, labels among them, are ignored.
+    component and are kept. Rows that share a vec_id are one vector if they are equal; if they are
+    not, each has links of its own and all are of one component. All come back as often as they were
+    given. Other columns, labels among them, are ignored.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
     count, dims = rows.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
     settings = settings.sized(count, dims or 2)
+    # A row's number, written with it, stands for its class where it comes first.
     described = keep(
-        rows.mapInPandas(
-            _describer(settings), "vec_id long, class binary, vector binary, names array<long>"
-        ).dropDuplicates(["vec_id"])
+        map_with_id(
+            rows, _describer(settings), "vec_id long, class binary, vector binary, names array<long>", "vec_id"
+        ).withColumn("node", F.monotonically_increasing_id())
     )
+    known = described.where(F.col("class").isNotNull())
     classes = keep(
-        described.groupBy("class").agg(
-            F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("copies")
-        )
+        known.groupBy("class", "vec_id")
+        .agg(F.min("node").alias("node"))
+        .groupBy("class")
+        .agg(F.min(F.struct("vec_id", "node")).alias("first"), F.count(F.lit(1)).alias("copies"))
+        .select("class", "first.vec_id", "first.node", "copies")
     )
-    members = described.select("vec_id", "class").join(classes, "class").drop("class")
     singles = keep(
-        described.join(classes, "class")
-        .where(F.col("vec_id") == F.col("first_id"))
-        .select("vec_id", "copies", "vector", "names")
+        known.select("node", "vector", "names").join(classes.select("node", "copies"), "node")
     )
-    linked = keep(_linked(singles, settings))
-    own = linked.groupBy(F.col("a").alias("first_id")).agg(F.sum("links").alias("others"))
-    reached = components(linked.select("a", "b")).withColumnRenamed("node", "first_id")
-    known = (
-        members.join(own, "first_id", "left")
-        .join(reached, "first_id", "left")
-        .select(
-            "vec_id",
-            (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
-            F.coalesce("component", "first_id").alias("component"),
+    members = keep(
+        described.select("vec_id", "class").join(
+            classes.select("class", F.col("node").alias("first_node"), "copies"), "class", "left"
         )
     )
-    result = (
-        rows.select("vec_id")
-        .join(known, "vec_id", "left")
-        .select(
-            "vec_id",
-            F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-            F.coalesce("component", "vec_id").alias("component_id"),
-        )
+    linked = keep(_linked(singles, settings))
+    own = linked.groupBy(F.col("a").alias("first_node")).agg(F.sum("links").alias("others"))
+    # Different vectors of one id are of one component.
+    one_id = (
+        members.where("first_node is not null")
+        .groupBy("vec_id")
+        .agg(F.min("first_node").alias("a"), F.max("first_node").alias("z"))
+        .where("a < z")
+        .select("vec_id", "a")
+    )
+    same = members.join(one_id, "vec_id").select("a", F.col("first_node").alias("b")).where("a <> b")
+    reached = keep(components(linked.select("a", "b").unionByName(same)))
+    smallest = (
+        classes.select("node", "vec_id")
+        .join(reached, "node")
+        .groupBy("component")
+        .agg(F.min("vec_id").alias("component_id"))
+    )
+    named = (
+        classes.select("node", "vec_id")
+        .join(reached.join(smallest, "component").select("node", "component_id"), "node", "left")
+        .select(F.col("node").alias("first_node"), F.coalesce("component_id", "vec_id").alias("class_id"))
+        .join(own, "first_node", "left")
+    )
+    result = members.join(named, "first_node", "left").select(
+        "vec_id",
+        F.coalesce(F.col("copies") - 1 + F.coalesce("others", F.lit(0)), F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce("class_id", "vec_id").alias("component_id"),
     )
-    discard(singles)
+    discard(described, singles)
     return result.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
 def _linked(singles: DataFrame, settings: Settings) -> DataFrame:
     """``a, b, links``: for a block and vector a, the rows it is linked with there and one tie."""
-    places = singles.select("vec_id", F.posexplode("names").alias("at", "bucket")).select(
-        "vec_id", "bucket", (F.col("at") % (settings.probes + 1) == 0).alias("own")
+    places = singles.select("node", F.posexplode("names").alias("at", "bucket")).select(
+        "node", "bucket", (F.col("at") % (settings.probes + 1) == 0).alias("own")
     )
-    places = places.groupBy("vec_id", "bucket").agg(F.max("own").alias("own"))
+    places = places.groupBy("node", "bucket").agg(F.max("own").alias("own"))
     shared = (
         places.groupBy("bucket")
         .agg(F.count(F.lit(1)).alias("size"), F.max("own").alias("any_own"))
@@ -286,12 +313,12 @@ def _linked(singles: DataFrame, settings: Settings) -> DataFrame:
     )
     blocks = (
         places.join(shared, "bucket")
-        .withColumn("side", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int"))
+        .withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("i", F.least("side", "other"))
         .withColumn("j", F.greatest("side", "other"))
-        .select("bucket", "i", "j", "side", "vec_id")
-        .join(singles, "vec_id")
+        .select("bucket", "i", "j", "side", "node")
+        .join(singles, "node")
         .repartition(*_BLOCK_KEYS)
         .sortWithinPartitions(*_BLOCK_KEYS)
     )
