@@ -1,4 +1,9 @@
-"""The corpus pipeline: quality, language, near duplicates, packing; each stage is written and reread."""
+"""The corpus pipeline: quality, language, near duplicates, packing; each stage is written and reread.
+
+Decisions are made row by row: rows that share a doc_id, or have none, may fare differently. All columns but
+doc_id, text and lang pass through unread, whatever their names; null, empty and very long texts are decided
+like others. No rows give none.
+"""
 
 from __future__ import annotations
 
@@ -12,50 +17,34 @@ from tidemark.llm.common import keep, sent_ids, table
 ORACLE_SQL = None
 
 
-def _with_decision(docs: DataFrame, decided: DataFrame, accepted: str) -> DataFrame:
-    """Rows of ``docs`` whose id is accepted; decisions are the same for all rows of an id.
-
-    A null id has no decision to join by; such rows stay, as nothing is known against them.
-    """
-    rejected = keep(
-        decided.where(f"doc_id is not null and not ({accepted})").select("doc_id").distinct()
-    )
-    return docs.join(sent_ids(rejected), "doc_id", "left_anti")
-
-
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents scored below the acceptance of the quality classifier."""
-    decided = keep(quality.quality(docs, table(spark, sf_dir, "labels")))
-    return _with_decision(docs, decided, "predicted = 1")
+    """Drop rows whose text is scored below the acceptance of the quality classifier. Without labels
+    every row stays. Equal texts are scored alike."""
+    model = quality.fitted(docs, table(spark, sf_dir, "labels"))
+    return docs.where(quality.score_of_text(model)(F.col("text")) >= quality.Settings().accept)
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents of undetermined language."""
-    decided = keep(language.languages(docs))
-    return _with_decision(docs, decided, f"lang_pred <> '{language.UNDETERMINED}'")
+    """Drop rows of undetermined language: null texts, texts without a letter, and all if no row has
+    a language to learn from."""
+    model = language.train(docs)
+    return docs.where(language.language_of_text(model)(F.col("text")) != language.UNDETERMINED)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near duplicates: five words, 0.8. Rows that repeat an id
-    are copies too; the one with the smallest text stays."""
-    decided = keep(minhash.near_duplicates(docs, minhash.Settings(width=5)))
-    survivors = _with_decision(docs, decided, "kept")
-    repeated = (
-        decided.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    )
-    repeated = sent_ids(keep(repeated))
-    once = survivors.join(repeated, "doc_id", "left_anti")
-    again = survivors.join(repeated, "doc_id", "left_semi")
-    return once.unionByName(
-        again.groupBy("doc_id")
-        .agg(F.min(F.struct("text", *[c for c in docs.columns if c not in ("doc_id", "text")])).alias("row"))
-        .select("doc_id", "row.*")
-        .select(*docs.columns)
+    """Keep one row of each group of near duplicates: five words, 0.8. Of a group, equal texts among
+    them, the first row as written stays; rows without words stay, each."""
+    named = [f"`{c}`" for c in docs.columns]
+    rows = keep(docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(*named).alias("_doc")))
+    decided = minhash.near_duplicates(
+        rows.select(F.col("_row").alias("doc_id"), F.col("_doc.text").alias("text")), minhash.Settings(width=5)
     )
+    rejected = keep(decided.where("not kept").select(F.col("doc_id").alias("_row")))
+    return rows.join(sent_ids(rejected), "_row", "left_anti").select("_doc.*")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Batches of the pieces of all remaining documents."""
+    """Batches of the pieces of all remaining rows; a text without words is one empty piece."""
     return packing.packed(docs)
 
 
