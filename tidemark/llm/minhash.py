@@ -269,6 +269,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         members.select(F.col("first_node").alias("node")).where("node is not null").distinct(), "node", "left_semi"
     )
     narrow = keep(singles.select("node", "doc_id", "class", "n_shingles", "bands", "signature"))
+    discard(signed)  # nothing below reads it
     # Different texts of one id are one document.
     one_id = (
         members.where("first_node is not null")
@@ -295,7 +296,6 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("component_id"),
     )
-    discard(signed)
     return result.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
