@@ -263,6 +263,66 @@ def test_extraction_of_all_pages(spark):
     assert [r["text"] for r in extraction.extracted(odd).collect()] == ["", ""]
 
 
+LINE = "The council met on Monday, and the vote was close. It was, by all accounts, a long night."
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<form><nav><a href=x>Home, sweet home</a></nav><div><h1>Vote</h1>{3}</div><footer>All, rights.</footer></form>", "Vote{3}"),
+        ("<div class='post-header'><h1>Vote</h1></div><div class=body>{3}</div><footer>All, rights.</footer>", "Vote{3}"),
+        ("<article><h1>Vote</h1>{3}<ul><li>x<li>y</ul><article class=comment><p>I like it, a lot.</p></article></article>", "Vote{3}xy"),
+        ("<main><h1>Vote</h1>{3}<div id=discussion><p>I like it, a lot. Truly, I do.</p></div></main>", "Vote{3}"),
+        ("<div><div><a href=a>One</a></div><div><a href=b>Two</a></div></div><div><h2>Vote</h2>{3}</div><div>All rights.</div>", "Vote{3}"),
+        ("<div><h1>Vote</h1><form><p>Your name, please.</p></form>{3}<aside><p>Side, bar, and more.</p></aside></div>", "Vote{3}"),
+        ("<p title='a > b' class=x's>{1}<a href='never closed>text", "{1}"),
+        ("<div><table><tr><td>a, b<td>c<tr><td>d</table></div>", "a, bcd"),
+        ("<nav><p>Some longer text, with marks, in a menu.</p></nav>", ""),
+        ("one", "one"),
+    ],
+)
+def test_extraction_without_telling_tags(page, want):
+    paragraphs = {f"{{{n}}}": f"<p>{LINE}</p>" * n for n in (1, 3)}
+    for key, value in paragraphs.items():
+        page, want = page.replace(key, value), want.replace(key, LINE * int(key[1]))
+    assert extraction.main_text(page).replace("\n", "") == want
+
+
+def test_path_ratios_decide(spark, monkeypatch):
+    """Pages as they are and without any telling tag or name; with the ratios off every page changes."""
+    pages = [r["html"] for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    telling = __import__("re").compile(r"(?<=[</])(?:article|nav|footer|aside)\b")
+    plain = [telling.sub("div", p).replace(' class="ad"', "") for p in pages]
+    want = [extraction.main_text(p) for p in pages]
+    same = sum(extraction.main_text(p) == w for p, w in zip(plain, want))
+    assert same >= 0.9 * len(pages)
+    rng = np.random.default_rng(4)
+    for chosen in (lambda n: np.ones(n, bool), lambda n: rng.random(n) < 0.5):
+        monkeypatch.setattr(extraction, "content_blocks", lambda page, lines, settings: chosen(len(lines)))
+        assert all(extraction.main_text(p) != w for p, w in zip(pages, want))
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<a " * 340_000, "<div>" * 200_000, "<span>" * 50_000 + "<p></p>x" * 50_000, "<!" * 500_000, "<script " * 120_000]
+    + ["<b>" * 100_000 + "</i>" * 200_000, "<p a" + "= " * 400_000, "<div>" * 90_000 + "x.</div>" * 90_000],
+)
+def test_broken_pages_in_linear_time(page):
+    began = __import__("time").time()
+    extraction.main_text(page)
+    assert __import__("time").time() - began < 10
+
+
+def test_extraction_odd_rows(spark):
+    long = f"<div>{f'<p>{LINE}</p>' * 20_000}</div>"
+    rows = [(1, "u", long, "t", 5), (1, "u", long, "t", 5), (2, None, "<p>one", None, None), (None, "v", None, "t", 1)]
+    schema = "page_id long, url string, html string, text string, n_chars int"
+    got = [tuple(r) for r in extraction.extracted(spark.createDataFrame(rows, schema)).collect()]
+    text = "\n".join([LINE] * 20_000)
+    assert got == [(1, "u", text, len(text))] * 2 + [(2, None, "one", 3), (None, "v", "", 0)]
+    assert extraction.extracted(spark.createDataFrame([], schema)).count() == 0
+
+
 @pytest.mark.parametrize("name", ["odd", "sf", "hot", "empty"])
 def test_sharding(spark, name):
     docs = {

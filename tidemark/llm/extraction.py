@@ -1,9 +1,9 @@
 """Main text of web pages by tag path ratios.
 
-Text nodes are grouped by their path of tags from the root. A path's text length and punctuation per node
-are smoothed along the page, fused to one ratio and held against a threshold; nodes above it are content.
-The smallest element that holds nearly all of their text is the article; its blocks, short headings
-included, are the result.
+A page is a list of blocks, each on a path of tags and classes from the root. Text length and punctuation
+per block are aggregated by path, smoothed along the page and fused to one ratio per path; telling tags and
+names only weigh it. Paths far above the rest mark the article's region; blocks are content whose ratio
+passes a threshold, which is lower inside of the region than outside.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt"
     " ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
+RAW = set("script style noscript template iframe textarea title".split())
 CLOSES_PARAGRAPH = set(
     "address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6"
     " header hr main menu nav ol p pre section table ul".split()
@@ -33,190 +34,255 @@ CLOSES_PARAGRAPH = set(
 CLOSES_LIKE = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}}
 CLOSES_LIKE |= {"td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 LIST_BOUNDS = set("ul ol dl table select".split())
-#: What is never part of an article.
-NOT_TEXT = set(
-    "head title script style noscript template iframe object svg math canvas audio video form button"
-    " select textarea input nav footer aside menu dialog".split()
-)
-NOT_TEXT_ROLES = set("navigation banner contentinfo complementary search form dialog alert".split())
-NOT_TEXT_NAMES = re.compile(
+#: What is seldom part of an article; ``header`` only outside of one.
+SELDOM_TEXT = set("object svg math canvas audio video button select nav footer aside menu dialog".split())
+SELDOM_ROLES = set("navigation banner contentinfo complementary search form dialog alert".split())
+OTHER_VOICES = r"comments?|replies|reply|disqus|respond|discussions?|related|recommended|teasers?"
+SELDOM_NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed|s)?|promos?|promotions?"
-    r"|banners?|cookies?|consent|gdpr|notices?|alerts?|popups?|modals?|overlay|comments?|replies|disqus"
-    r"|respond|sidebars?|side|menus?|nav|navbar|navigation|breadcrumbs?|footers?|header|masthead|share"
-    r"|sharing|social|related|recommended|newsletter|subscribe|subscription|signup|login|pagination"
-    r"|pager|widgets?|toolbar|teasers?|tags|hidden)(?:$|[\s_-])",
+    r"|banners?|cookies?|consent|gdpr|notices?|alerts?|popups?|modals?|overlay|sidebars?|side|menus?|nav"
+    r"|navbar|navigation|breadcrumbs?|footers?|masthead|share|sharing|social|newsletter|subscribe"
+    rf"|subscription|signup|login|pagination|pager|widgets?|toolbar|tags|hidden|{OTHER_VOICES})(?:$|[\s_-])"
+    r"|(?:^|\s)(?:(?:site|page|top)[_-])?header(?:$|\s)",
     re.I,
 )
+OTHER_VOICES_NAMES = re.compile(rf"(?:^|[\s_-])(?:{OTHER_VOICES})(?:$|[\s_-])", re.I)
+
+# A quote opens a value only after "="; what is never closed reaches to the page's end. No part is read twice.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)"
-    r"|<(?P<raw>script|style|noscript|template|iframe|textarea|title)\b[^>]*>.*?(?:</(?P=raw)\s*>|$)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
-    r"|<[!?][^>]*>"
-    r"|(?P<text>[^<]+|<)",
-    re.S | re.I,
+    r"<!--.*?(?:-->|\Z)"
+    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)"
+    r"(?P<attrs>(?:=\s*+\"[^\"]*+(?:\"|\Z)|=\s*+'[^']*+(?:'|\Z)|[^>=]++|=)*+)(?P<closed>>|\Z)"
+    r"|<[!?/][^>]*+(?:>|\Z)"
+    r"|(?P<text>[^<]++|<)",
+    re.S,
+)
+_RAW_ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*+(?:>|\Z)", re.I) for tag in RAW}
+_NAMED = re.compile(
+    r"(?<![^\s\"'/])(class|id|role|hidden|aria-hidden|style)(?![^\s=/])"
+    r"(?:\s*+=\s*+(\"[^\"]*+\"?|'[^']*+'?|[^\s\"'>]++))?",
+    re.I,
 )
-_NAMED = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 _PUNCTUATION = re.compile(r"[,.;:!?，。；：！？、]")
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``threshold`` in standard deviations of the fused ratios; ``held`` is the share of content
-    text that the article element must hold."""
+    """``inside`` and ``outside`` are the thresholds in shares of the page's typical ratio; ``held`` is the
+    share of the strong paths' text that the region holds, ``article_held`` that of an article element.
+    ``seldom``, ``form`` and ``headline`` weigh telling elements, ``linked`` a character within a link;
+    below ``least`` a page has no content."""
 
-    threshold: float = 0.3
-    held: float = 0.7
+    inside: float = 0.05
+    outside: float = 0.9
+    held: float = 0.9
+    article_held: float = 0.6
+    seldom: float = 0.005
+    form: float = 0.02
+    headline: float = 3.0
+    linked: float = 0.1
+    least: float = 0.05
     kernel: tuple[float, ...] = (0.25, 0.5, 0.25)
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "path", "banned", "linked", "text", "depth")
-
-    def __init__(self, tag: str, parent, banned: bool, linked: bool):
-        self.tag, self.parent, self.banned, self.linked = tag, parent, banned, linked
-        self.path = f"{parent.path}/{tag}" if parent else tag
-        self.depth = parent.depth + 1 if parent else 0
-        self.text = 0
-
-
-def _banned(tag: str, attrs: str, inside_article: bool) -> bool:
-    if tag in NOT_TEXT or (tag == "header" and not inside_article):
-        return True
-    for name, value in _NAMED.findall(attrs) if attrs else ():
-        name, value = name.lower(), value.strip("\"'").lower()
-        if name in ("class", "id") and tag not in ("body", "html", "article", "main"):
-            if NOT_TEXT_NAMES.search(value):
-                return True
-        elif name == "role" and value in NOT_TEXT_ROLES:
-            return True
-        elif name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
-        elif name == "style" and "display:none" in value.replace(" ", ""):
-            return True
-    return False
-
-
-def text_nodes(page: str) -> list[tuple[_Element, str, int]]:
-    """Text nodes outside of banned elements with their element and the number of their block."""
-    current = root = _Element("#root", None, False, False)
-    block = 0
-    found = []
-    for token in _TOKEN.finditer(page):
-        tag = token["tag"]
-        if token["text"] is not None:
-            if not current.banned:
-                text = html.unescape(token["text"])
-                found.append((current, text, block))
-            continue
-        if tag is None:
-            if token["raw"] and token["raw"].lower() not in INLINE:
-                block += 1
-            continue
-        tag = tag.lower()
+    __slots__ = ("tag", "number", "parent", "path", "weight", "linked", "in_article", "scope", "holder")
+
+
+@dataclass
+class _Block:
+    element: _Element
+    parts: list[str]
+    linked: int = 0
+    marks: int = 0
+
+
+def _attributes(attrs: str) -> dict[str, str]:
+    return {n.lower(): v.strip("\"'").lower() for n, v in _NAMED.findall(attrs)} if attrs else {}
+
+
+def _weight(tag: str, named: dict[str, str], in_article: bool, settings: Settings) -> float:
+    if tag in SELDOM_TEXT or (tag == "header" and not in_article):
+        return settings.seldom
+    if named and tag not in ("body", "html"):
+        telling = OTHER_VOICES_NAMES if tag in ("article", "main") else SELDOM_NAMES
+        if (
+            any(telling.search(named.get(name, "")) for name in ("class", "id"))
+            or named.get("role") in SELDOM_ROLES
+            or "hidden" in named
+            or named.get("aria-hidden") == "true"
+            or "display:none" in named.get("style", "").replace(" ", "")
+        ):
+            return settings.seldom
+    return {"form": settings.form, "h1": settings.headline}.get(tag, 1.0)
+
+
+class _Page:
+    """Elements in page order and blocks of text; time and memory follow the page's length."""
+
+    def __init__(self, page: str, settings: Settings):
+        self.settings = settings
+        self.paths: dict[tuple, int] = {}
+        self.elements: list[_Element] = []
+        self.blocks: list[_Block] = []
+        self.open: dict[str, int] = {}
+        self.current = None
+        self.current = self.root = self._element("#root", "")
+        self.block: _Block | None = None
+        at = 0
+        while at < len(page):
+            token = _TOKEN.match(page, at)
+            at = token.end()
+            if token["text"] is not None:
+                self._text(html.unescape(token["text"]))
+            elif token["tag"] is not None and token["closed"]:
+                tag = token["tag"].lower()
+                if tag in RAW and not token["end"]:
+                    self.block = None
+                    end = _RAW_ENDS[tag].search(page, at)
+                    at = end.end() if end else len(page)
+                else:
+                    self._tag(tag, bool(token["end"]), token["attrs"])
+
+    def _element(self, tag: str, attrs: str) -> _Element:
+        e, parent, named = _Element(), self.current, _attributes(attrs)
+        e.tag, e.number, e.parent = tag, len(self.elements), parent
+        inline = tag in INLINE
+        key = (parent.path if parent else -1, tag, named.get("class", ""))
+        e.path = parent.path if inline else self.paths.setdefault(key, len(self.paths))
+        e.in_article = tag in ("article", "main") or (parent is not None and parent.in_article)
+        inside = parent is not None and parent.in_article
+        e.weight = (parent.weight if parent else 1.0) * _weight(tag, named, inside, self.settings)
+        e.linked = tag == "a" or (parent is not None and parent.linked)
+        e.holder = parent.holder if inline else e
+        # The open elements that a later start tag may close, as seen from here.
+        e.scope = parent.scope if parent else {}
+        if tag in CLOSES_PARAGRAPH and "p" in e.scope:
+            e.scope = {t: x for t, x in e.scope.items() if t != "p"}
+        if tag in LIST_BOUNDS and e.scope:
+            e.scope = {t: x for t, x in e.scope.items() if t == "p"}
+        if tag == "p" or tag in CLOSES_LIKE:
+            e.scope = {**e.scope, tag: e}
+        self.elements.append(e)
+        self.open[tag] = self.open.get(tag, 0) + 1
+        return e
+
+    def _close(self, element: _Element) -> None:
+        """Close ``element`` and all that is open in it."""
+        while True:
+            node, self.current = self.current, self.current.parent
+            self.open[node.tag] -= 1
+            if node is element:
+                return
+
+    def _tag(self, tag: str, ends: bool, attrs: str) -> None:
+        if tag == "head":
+            return
         if tag not in INLINE:
-            block += 1
-        if token["end"]:
-            node = current
-            while node is not root and node.tag != tag:
-                node = node.parent
-            if node is not root:
-                current = node.parent
-            continue
-        if tag in CLOSES_PARAGRAPH:
-            current = _closed(current, {"p"}, CLOSES_PARAGRAPH - {"p"})
-        elif tag in CLOSES_LIKE:
-            current = _closed(current, CLOSES_LIKE[tag], LIST_BOUNDS)
-        if tag in VOID or token["attrs"].endswith("/"):
-            if tag == "br" and not current.banned:
-                found.append((current, " ", block))
-            continue
-        inside = current
-        while inside is not None and inside.tag not in ("article", "main"):
-            inside = inside.parent
-        current = _Element(
-            tag,
-            current,
-            current.banned or _banned(tag, token["attrs"], inside is not None),
-            current.linked or tag == "a",
-        )
-    return found
-
-
-def _closed(current: _Element, tags: set, bounds: set) -> _Element:
-    """Where an element that ends an open one of ``tags`` goes: above it, if there is one."""
-    node = current
-    while node.parent is not None and node.tag not in bounds:
-        if node.tag in tags:
-            return node.parent
-        node = node.parent
-    return current
-
-
-def content_nodes(nodes: list[tuple[_Element, str, int]], settings: Settings) -> np.ndarray:
-    """Which nodes lie on paths whose fused ratio of text and punctuation passes the threshold."""
-    lengths = np.array([len(" ".join(text.split())) for _, text, _ in nodes], float)
-    filled = np.flatnonzero(lengths)
-    chosen = np.zeros(len(nodes), bool)
-    if not len(filled):
-        return chosen
-    marks = np.array([len(_PUNCTUATION.findall(nodes[i][1])) for i in filled], float)
-    linked = np.array([nodes[i][0].linked for i in filled])
-    paths: dict[str, int] = {}
-    of = np.array([paths.setdefault(nodes[i][0].path, len(paths)) for i in filled])
-    size = np.bincount(of)
-    text = np.bincount(of, np.where(linked, 0, lengths[filled])) / size
-    punctuation = np.bincount(of, np.where(linked, 0, marks)) / size
-    smooth = []
-    for values in (text, punctuation):
-        along = np.pad(values[of], len(settings.kernel) // 2, mode="edge")
-        smooth.append(np.convolve(along, settings.kernel, "valid"))
-    # A path counts as its nodes do on average after smoothing.
-    fused = smooth[0] * (1 + smooth[1])
-    by_path = np.bincount(of, fused) / size
-    own = text * (1 + punctuation)
-    score = np.sqrt(by_path * own)[of]
-    chosen[filled] = (score > 0) & (score >= min(settings.threshold * score.std(), score.max()))
-    return chosen
+            self.block = None
+        if ends:
+            if self.open.get(tag) and tag != "#root":
+                node = self.current
+                while node.tag != tag:
+                    node = node.parent
+                self._close(node)
+            return
+        closes = CLOSES_LIKE.get(tag, {"p"} if tag in CLOSES_PARAGRAPH else ())
+        found = [self.current.scope[t] for t in closes if t in self.current.scope]
+        if found:
+            self._close(min(found, key=lambda e: e.number))
+        if tag == "br":
+            self._text(" ")
+        elif tag not in VOID and not attrs.endswith("/"):
+            self.current = self._element(tag, attrs)
+
+    def _text(self, text: str) -> None:
+        if self.block is None:
+            if not text.strip():
+                return
+            self.block = _Block(self.current, [])
+            self.blocks.append(self.block)
+        self.block.parts.append(text)
+        if self.current.linked:
+            self.block.linked += sum(map(len, text.split()))
+        else:
+            self.block.marks += len(_PUNCTUATION.findall(text))
+
+
+def content_blocks(page: _Page, lines: list[str], settings: Settings) -> np.ndarray:
+    """Which blocks lie on paths whose fused ratio of text and punctuation passes the threshold."""
+    blocks = page.blocks
+    chars = np.array([len(line) for line in lines], float)
+    linked = np.minimum(np.array([b.linked for b in blocks], float), chars)
+    chars += (settings.linked - 1) * linked
+    marks = np.array([b.marks for b in blocks], float)
+    weight = np.array([b.element.weight for b in blocks])
+    _, of, size = np.unique([b.element.path for b in blocks], return_inverse=True, return_counts=True)
+    own, near = [], []
+    for values in (chars, marks):
+        by_path = np.bincount(of, values) / size
+        along = np.pad(by_path[of], len(settings.kernel) // 2, mode="edge")
+        own.append(by_path)
+        near.append(np.bincount(of, np.convolve(along, settings.kernel, "valid")) / size)
+    fused = np.log1p(own[0]) + np.log1p(own[1])
+    smooth = np.log1p(near[0]) + np.log1p(near[1])
+    ratio = np.sqrt(fused * smooth)[of] * weight
+    if ratio.max() < settings.least:
+        return np.zeros(len(blocks), bool)
+    # The ratio that most text has, seldom kinds of text apart.
+    typical = (chars * ratio**3).sum() / (chars * ratio**2).sum()
+    strong = ratio >= min(settings.outside * typical, ratio.max())
+    region = _region(page, np.where(strong, chars * ratio, 0), settings)
+    within = np.array([region[b.element.number] for b in blocks])
+    return strong | (within & (ratio >= settings.inside * typical))
+
+
+def _region(page: _Page, text: np.ndarray, settings: Settings) -> np.ndarray:
+    """Which elements lie in the deepest one that holds nearly all strong text; an article with most of
+    it goes before."""
+    held = np.zeros(len(page.elements))
+    for block, amount in zip(page.blocks, text):
+        # A block's own element isn't its region, unless it is an article.
+        holder = block.element.holder
+        if holder.parent and holder.tag not in ("article", "main"):
+            holder = holder.parent
+        held[holder.number] += amount
+    for element in reversed(page.elements[1:]):
+        held[element.parent.number] += held[element.number]
+    total = held[0]
+    best = page.root
+    for element in page.elements:
+        if held[element.number] >= settings.article_held * total and element.tag in ("article", "main"):
+            best = element
+    if best is page.root:
+        for element in page.elements:
+            if held[element.number] >= settings.held * total and element.tag not in INLINE:
+                best = element
+    inside = np.zeros(len(page.elements), bool)
+    inside[best.number] = True
+    for element in page.elements[best.number + 1 :]:
+        inside[element.number] = inside[element.parent.number]
+    return inside
 
 
 def main_text(page: str | None, settings: Settings = Settings()) -> str:
     """The article of a whole page, a line for each block; empty if there is none."""
     if not page:
         return ""
-    nodes = text_nodes(page)
-    chosen = content_nodes(nodes, settings)
-    total = 0
-    elements: dict[int, _Element] = {}
-    for (element, text, _), content in zip(nodes, chosen):
-        if content:
-            total += len(text)
-            while element is not None:
-                element.text += len(text)
-                elements[id(element)] = element
-                element = element.parent
-    if not total:
+    read = _Page(page, settings)
+    if not read.blocks:
         return ""
-    known = [e for e in elements.values() if e.tag in ("article", "main")]
-    holding = [e for e in known if e.text >= 0.5 * total] or [
-        e for e in elements.values() if e.text >= settings.held * total and e.tag not in INLINE | {"p"}
-    ]
-    article = max(holding, key=lambda e: (e.depth, e.text))
-    blocks: dict[int, list[str]] = {}
-    for element, text, block in nodes:
-        node = element
-        while node is not None and node is not article:
-            node = node.parent
-        if node is article:
-            blocks.setdefault(block, []).append(text)
-    lines = (" ".join("".join(parts).split()) for parts in blocks.values())
-    return "\n".join(line for line in lines if line)
+    lines = [" ".join("".join(block.parts).split()) for block in read.blocks]
+    chosen = content_blocks(read, lines, settings)
+    return "\n".join(line for line, content in zip(lines, chosen) if content and line)
 
 
 def extracted(pages: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row of ``pages`` (page_id, url, html, ...).
 
-    Null and empty pages, and pages without content, give the empty text. Repeated rows and null
-    ids and urls come back as given; other columns are ignored. Pages are read whole.
+    Null and empty pages, and pages without content, give the empty text; what a tag, comment or script
+    that never ends holds is not text. Repeated rows and null ids and urls come back as given; other
+    columns are ignored, and no rows give none. Pages are read whole, in time that follows their length.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
