@@ -351,6 +351,52 @@ def test_sharding(spark, name):
     assert sorted(rows["text_crc32"]) == sorted(__import__("zlib").crc32(t.encode()) for t in texts)
 
 
+def grouped(spark, sizes):
+    rows = [(i, f"text {g}") for i, g in enumerate(g for g, n in enumerate(sizes) for _ in range(n))]
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def cut_groups(spark, sizes, settings=sharding.Settings()):
+    """How many shards each group lies in; shards hold equally many rows."""
+    rows = sharding.sharded(grouped(spark, sizes), settings).join(grouped(spark, sizes), "doc_id").toPandas()
+    held = rows.groupby("shard").size().reindex(range(settings.shards), fill_value=0)
+    assert len(rows) == sum(sizes) and held.max() - held.min() <= 1
+    return rows.groupby("text").shard.nunique()
+
+
+@pytest.mark.parametrize(
+    "sizes, whole",
+    [([50] * 80, 80), ([40] * 100, 80), ([100] * 10 + [70] * 10 + [30] * 10 + [5] * 400, 430)],
+)
+def test_full_shards_exchange_rows(spark, sizes, whole):
+    """Shards of 100 rows with nothing unlinked; two groups of 40 fit in one, so 80 of 100 is the most."""
+    assert (cut_groups(spark, sizes) == 1).sum() == whole
+
+
+def test_only_what_exceeds_a_shard_is_cut(spark):
+    found = cut_groups(spark, [60] * 20 + [1300] + [2] * 250 + [1] * 1000)
+    assert (found == 1).sum() == len(found) - 1 and found["text 20"] == 13
+
+
+def test_sharding_against_the_best_assignment(spark):
+    """Groups that stay whole, against trying every way to give whole groups to shards."""
+
+    def best(sizes, room):
+        if not sizes:
+            return 0
+        most = best(sizes[1:], room)
+        for s in set(room):
+            if sizes[0] <= s:
+                rest = list(room)
+                rest[rest.index(s)] -= sizes[0]
+                most = max(most, 1 + best(sizes[1:], rest))
+        return most
+
+    for sizes in ([4, 3, 3, 2], [4, 4, 4], [3, 3, 2, 2, 2], [2] * 6, [5, 2, 2, 3], [3, 2, 2, 2, 2, 1]):
+        found = cut_groups(spark, sizes, sharding.Settings(shards=3))
+        assert (found == 1).sum() == best(sizes, [4, 4, 4]), sizes
+
+
 def test_bpe_against_the_library(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
