@@ -478,6 +478,21 @@ def test_fingerprints_against_one_pass(spark):
     assert fingerprints.compared(empty(spark)).count() == 0
 
 
+def test_likeness_knows_no_border_of_length():
+    """A text and its beginnings: likeness falls evenly with what is cut off, on both sides of the 400
+    characters at which levels once changed. (Texts of a line have too few phrases to fall evenly.)"""
+    rng = random.Random(21)
+    settings = fingerprints.Settings()
+    texts = [" ".join(rng.choice(WORDS) + rng.choice(WORDS) for _ in range(200)) for _ in range(40)]
+    for length in (210, 410, 800, 1200):
+        whole = fingerprints.signatures([t[:length] for t in texts], settings)
+        near = []
+        for cut in (0.01, 0.02, 0.03, 0.05, 0.1):
+            parts = fingerprints.signatures([t[: length - int(cut * length)] for t in texts], settings)
+            near.append(np.mean([fingerprints.likeness(a, b, settings.kept) for a, b in zip(whole, parts)]))
+        assert near[2] > 0.6 and max(a - b for a, b in zip(near, near[1:])) < 0.15, (length, near)
+
+
 def test_equal_substrings_share_phrases():
     s = fingerprints.Settings()
     rng = random.Random(9)

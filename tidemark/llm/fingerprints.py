@@ -5,7 +5,8 @@ name is compared with its left neighbour, what remains is a small number at most
 local maxima of these numbers begin phrases. Runs of one name are one phrase. A phrase's name follows
 from its content alone, so equal substrings get equal names inside, wherever they stand.
 
-A fingerprint is the smallest hashes of the phrase names of the upper levels.
+A fingerprint is the smallest hashes of the phrase names of the upper levels; the level below weighs
+little, so that it rules only where a text has few phrases.
 """
 
 from __future__ import annotations
@@ -26,15 +27,16 @@ from tidemark.llm.shingles import mix
 @dataclass(frozen=True)
 class Settings:
     """``levels`` of phrases, of which those from ``first_level`` on are used (about 12 characters
-    and more; one level less in texts below ``short`` characters); ``kept`` smallest hashes; ``rows``
-    documents that make one stretch of neighbours; ``characters`` parsed together."""
+    and more); of the level below, one name in ``below`` counts as much and the others come after all of
+    these; ``kept`` smallest hashes; ``rows`` documents that make one stretch of neighbours; ``characters``
+    parsed together."""
 
     levels: int = 5
     first_level: int = 3
     kept: int = 128
     tosses: int = 4
     rows: int = 2000
-    short: int = 400
+    below: int = 16
     characters: int = 400_000
 
 
@@ -127,7 +129,7 @@ def phrases(texts: list[str], settings: Settings) -> list[tuple[np.ndarray, np.n
 
 def signatures(texts: list[str | None], settings: Settings) -> list[np.ndarray]:
     """For each text the smallest 32-bit hashes of its phrase names; a name that comes again counts
-    again, by its number. Short texts use one more level. Null and empty texts have none."""
+    again, by its number. All texts use the same levels. Null and empty texts have none."""
     out = [np.empty(0, np.uint32)] * len(texts)
     filled = [i for i, t in enumerate(texts) if t]
     for group in _groups([len(texts[i]) for i in filled], settings.characters):
@@ -135,9 +137,8 @@ def signatures(texts: list[str | None], settings: Settings) -> list[np.ndarray]:
         levels = phrases([texts[i] for i in rows], settings)
         hashed = [(mix(names ^ _RUN), np.append(heads, len(names))) for names, heads in levels]
         for k, i in enumerate(rows):
-            first = settings.first_level - 1 - (len(texts[i]) < settings.short)
-            parts = [names[heads[k] : heads[k + 1]] for names, heads in hashed[first:]]
-            out[i] = _smallest(np.concatenate(parts), settings.kept)
+            own = [names[heads[k] : heads[k + 1]] for names, heads in hashed[settings.first_level - 2 :]]
+            out[i] = _smallest(np.concatenate(own[1:]), own[0], settings)
     return out
 
 
@@ -153,17 +154,26 @@ def _groups(lengths: list[int], most: int) -> Iterator[slice]:
         yield slice(start, len(lengths))
 
 
-def _smallest(names: np.ndarray, kept: int) -> np.ndarray:
+def _counted(names: np.ndarray) -> np.ndarray:
+    """Names in order, those that come again as names of their own."""
     names = np.sort(names)
     starts = np.flatnonzero(np.append(True, names[1:] != names[:-1]))
     if len(starts) < len(names):
         number = np.arange(len(names)) - np.repeat(starts, np.diff(np.append(starts, len(names))))
         again = np.flatnonzero(number)
         names[again] = mix(names[again] + number[again].astype(np.uint64) * _REPEAT)
-    hashes = (names >> np.uint64(32)).astype(np.uint32)
-    if len(hashes) > 4 * kept:
-        hashes = np.partition(hashes, 2 * kept)[: 2 * kept]
-    return np.unique(hashes)[:kept]
+    return names
+
+
+def _smallest(upper: np.ndarray, lower: np.ndarray, settings: Settings) -> np.ndarray:
+    """The smallest hashes; a name's lower half decides which of the level below come late."""
+    upper, lower = _counted(upper), _counted(lower)
+    late = (lower % np.uint64(settings.below) != 0).astype(np.uint32) << np.uint32(31)
+    hashes = np.append(upper >> np.uint64(33), lower >> np.uint64(33)).astype(np.uint32)
+    hashes[len(upper) :] |= late
+    if len(hashes) > 4 * settings.kept:
+        hashes = np.partition(hashes, 2 * settings.kept)[: 2 * settings.kept]
+    return np.unique(hashes)[: settings.kept]
 
 
 def written(hashes: np.ndarray) -> str:
