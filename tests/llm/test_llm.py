@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -420,7 +421,7 @@ def test_bpe_against_the_library(spark):
 
 
 def test_scoring(spark):
-    settings = scoring.Settings(classes=4, places=8, shared=4, width=6, rounds=2, every=1, batch=64)
+    settings = scoring.Settings(classes=4, places=8, shared=4, width=6, rounds=2, batch=64)
     docs = spark.createDataFrame(
         [(i, "the cat sat on the mat and the dog ran " * 20) for i in range(20)] + [(99, None), (None, "a b")],
         "doc_id long, text string",
@@ -576,7 +577,7 @@ def test_long_ids_beside_null_ones(spark):
     docs = spark.createDataFrame([(*r, "de") for r in texts], "doc_id long, text string, lang string").coalesce(1)
     labels = spark.createDataFrame([(7, 1)], "doc_id long, quality int")
     want = sorted((r[0] for r in texts), key=str)
-    settings = scoring.Settings(classes=4, places=8, shared=4, width=6, rounds=1, every=1, batch=64)
+    settings = scoring.Settings(classes=4, places=8, shared=4, width=6, rounds=1, batch=64)
     for rows in (
         minhash.near_duplicates(docs),
         quality.quality(docs, labels),
@@ -655,3 +656,92 @@ def test_related_languages_by_votes(spark):
         own = np.isin(langs, [machines.names[a], machines.names[b]])
         alone = language.fit_machines(sample[own], langs[own], settings)
         assert np.allclose(alone.weights[:, 0], machines.weights[:, k], atol=1e-3)
+
+
+def scoring_case(spark):
+    rng = np.random.default_rng(4)
+    names = [f"w{i}{'xyz'[i % 3]}" for i in range(60)]
+    texts = [" ".join(rng.choice(names, rng.integers(1, 90)) if i % 7 else names[:9]) for i in range(120)]
+    docs = spark.createDataFrame([*enumerate(texts), (500, "ünsäglich 中文 \x00 " * 3)], "doc_id long, text string")
+    return docs, scoring.Settings(
+        classes=4, places=8, shared=4, width=6, rounds=2, batch=64, share=500, positions=300, partitions=3, block=64
+    )
+
+
+def test_scores_do_not_depend_on_the_layout(spark):
+    docs, settings = scoring_case(spark)
+    found = [
+        sorted(map(tuple, scoring.scored(rows, settings).collect()))
+        for rows in (docs.coalesce(1), docs.orderBy(F.rand(3)).repartition(16))
+    ]
+    assert found[0] == found[1] and len(found[0]) == 121
+
+
+def test_every_position_is_trained_on_once(spark):
+    docs, settings = scoring_case(spark)
+    network, tokens = scoring.train(docs, settings)
+    seen = [
+        scoring._improved(tokens, network.flat, turn, 5, settings).where("block = 0").select("learner", "weight").collect()
+        for turn in range(settings.rounds)
+    ]
+    total = tokens.agg(F.sum(F.length("tokens")) / 2).first()[0]
+    assert sum(r["weight"] for rows in seen for r in rows) == total
+    assert all(len({r["learner"] for r in rows}) == len(rows) > 1 for rows in seen)
+
+
+def test_gradient_against_finite_differences():
+    """One step divides the gradient by the root of its square, so its sign and its square are known."""
+    settings = scoring.Settings(classes=3, places=4, shared=2, width=5, sides=2, rate=1e-2)
+    rng = np.random.default_rng(1)
+    windows, targets = rng.integers(0, 13, (40, 4)), rng.integers(0, 12, 40)
+    weights = rng.normal(0, 0.5, scoring.Network.size(settings)).astype(np.float32)
+    network = scoring.Network(settings, weights)
+    squares = scoring.Network(settings, np.zeros(len(weights)))
+    network.learn(windows, targets, squares)
+    found = np.sqrt(squares.flat) * np.sign(weights - network.flat)
+    for at in rng.choice(len(weights), 150, replace=False):
+        risk = []
+        for change in (1e-2, -1e-2):
+            moved = scoring.Network(settings, weights)
+            moved.flat[at] += change
+            risk.append(-moved.log_probabilities(windows, targets).mean())
+        assert abs(found[at] - (risk[0] - risk[1]) / 2e-2) < 2e-4
+
+
+def test_words_are_spelled(spark):
+    settings = scoring.Settings(classes=2, places=4, shared=3)
+    counts = Counter({b"the": 9, b"thin": 4, b"then": 2, b"a": 3, b"\xc3\xa4tna": 1, b"zoo": 5})
+    own = {b"the": 0, b"a": 1}
+    rows = spark.createDataFrame([(bytearray(w), n) for w, n in counts.items()], "word binary, count long")
+    spelling = scoring.spelling_of(rows, own, settings)
+    long, short = Counter(), Counter()
+    for word, n in counts.items():
+        codes = b"  " + word + b" "
+        for i in range(2, len(codes) if word not in own else 0):
+            before = 32 if i == 2 else codes[i - 2]
+            long[before % 32, codes[i - 1], codes[i]] += n
+            short[codes[i - 1], codes[i]] += n
+
+    def step(c2, c1, b):
+        a = settings.smoothing
+        equal = a / 251 * (b not in range(9, 14))
+        mine = (short[c1, b] + equal) / (sum(short[c1, x] for x in range(256)) + a)
+        return (long[c2 % 32, c1, b] + a * mine) / (sum(long[c2 % 32, c1, x] for x in range(256)) + a)
+
+    def raw(word):
+        first = {
+            b: short[32, b] + settings.smoothing / 251
+            for b in range(256)
+            if b % 3 == word[0] % 3 and b != 32 and b not in range(9, 14)
+        }
+        codes = b" " + word + b" "
+        rest = math.prod(step(codes[i - 2], codes[i - 1], codes[i]) for i in range(2, len(codes)))
+        return first[word[0]] / sum(first.values()) * rest
+
+    for word in (b"thin", b"then", b"\xc3\xa4tna", b"zoo", b"unseen", b"\x00"):
+        taken = sum(raw(w) for w in own if w[0] % 3 == word[0] % 3)
+        want = math.log(raw(word) / (1 - taken))
+        assert math.isclose(spelling.logs_of([b"zoo", word])[1], want, rel_tol=1e-4), word
+    # each next byte's chances sum to 1, so those of all words do
+    assert np.allclose(np.exp(spelling.steps.reshape(-1, 256)).sum(1), 1, atol=1e-4)
+    assert np.allclose(np.bincount(np.arange(256) % 3, np.exp(spelling.first)), 1)

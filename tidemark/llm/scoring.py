@@ -2,21 +2,25 @@
 
 Every word is predicted from the words on both sides; a document's score is the sum of the log
 probabilities. The vocabulary comes from counts over all documents: the commonest words have tokens of
-their own, others share hashed tokens. A token is predicted in two steps, its class and its place in it.
-
-The network is trained in numpy inside tasks: in each round every partition improves the same weights on
-its own documents and the weights are averaged, block by block, weighted by positions.
+their own, others share a token by their first byte and are then spelled, byte by byte, so that every
+word has a probability of its own and those of all words sum to 1. A token is predicted in two steps, its
+class and its place in it.
+
+The network is trained in numpy inside tasks, on every word of every document once: a round takes the
+documents that their digests deal to it, dealt again to learners of about equally many words. Each learner
+improves the same weights, and the weights are averaged, block by block, weighted by positions. Who learns
+what, and in which order, follows from ids and texts alone, not from how rows lie in partitions.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +31,8 @@ from tidemark.llm.shingles import words_of
 @dataclass(frozen=True)
 class Settings:
     """``classes`` x ``places`` tokens, of which ``shared`` are for words without their own.
-    ``every``: one position in so many of every document is a training target in each round."""
+    ``share``: about so many words make one learner's part of a round; ``partitions``: most tasks of one.
+    ``smoothing``: weight of the shorter context in spelling, in counts."""
 
     classes: int = 32
     places: int = 32
@@ -35,11 +40,12 @@ class Settings:
     sides: int = 2
     width: int = 24
     rounds: int = 3
-    every: int = 16
-    batch: int = 1024
+    batch: int = 4096
     rate: float = 0.05
     block: int = 1024
-    salts: int = 16
+    share: int = 1_000_000
+    partitions: int = 20_000
+    smoothing: float = 4.0
     positions: int = 100_000
     seed: int = 23
 
@@ -78,38 +84,133 @@ def word_counts(docs: DataFrame) -> DataFrame:
     )
 
 
-class Tokens(dict):
-    """Token of a word: its own, or one by hash; remembers words until it has grown."""
+class Spelling:
+    """Probability of a word without a token of its own, given the token it shares.
+
+    The first byte is drawn from those of the token, each further one given the byte before and the five
+    low bits of the one before that; a space ends the word. Contexts back off to the byte before, and that
+    to equal chances. What the words with tokens of their own would take is dealt to the others.
+    """
+
+    CONTEXTS = 32
+    CELLS = 256 * CONTEXTS * 256
+    SPACE = 32
+
+    def __init__(self, counts: np.ndarray, own: list[bytes], settings: Settings):
+        self.shared = settings.shared
+        counts = np.asarray(counts, np.float64).reshape(256, self.CONTEXTS, 256)
+        equal = np.ones(256)
+        equal[9:14] = 0  # the other white space is in no word
+        short = counts.sum(axis=1)
+        self.firsts = short[self.SPACE]
+        first = self.firsts + settings.smoothing * equal / equal.sum()
+        first[self.SPACE] = 0
+        token = np.arange(256) % self.shared
+        short = _backed_off(short, equal / equal.sum(), settings.smoothing)
+        steps = _backed_off(counts, short[:, None, :], settings.smoothing)
+        with np.errstate(divide="ignore"):
+            self.steps = np.log(steps).astype(np.float32).ravel()
+            self.first = np.log(first / np.bincount(token, first, self.shared)[token])
+        self.left = np.zeros(self.shared)
+        if own:
+            taken = np.bincount([w[0] % self.shared for w in own], np.exp(self.logs_of(own)), self.shared)
+            self.left = np.log1p(-np.minimum(taken, 1 - 1e-9))
+
+    @classmethod
+    def cells(cls, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """For each byte of the words and the space after each: its context and itself as one number.
+        Also where words begin."""
+        codes = np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8).astype(np.int32)
+        lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        starts = np.cumsum(lengths) - lengths
+        context = codes[:-1] * cls.CONTEXTS
+        context[1:] += codes[:-2] % cls.CONTEXTS
+        context[starts] = cls.SPACE * cls.CONTEXTS
+        return context * 256 + codes[1:], starts
+
+    def logs_of(self, words: list[bytes]) -> np.ndarray:
+        cells, starts = self.cells(words)
+        logs = self.steps[cells].astype(np.float64)
+        first = cells[starts] % 256
+        logs[starts] = self.first[first]
+        return np.add.reduceat(logs, starts) - self.left[first % self.shared]
+
+
+def _backed_off(counts: np.ndarray, shorter: np.ndarray, smoothing: float) -> np.ndarray:
+    return (counts + smoothing * shorter) / (counts.sum(axis=-1, keepdims=True) + smoothing)
+
+
+def _count_steps(own: dict[bytes, int]):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tally = np.zeros(Spelling.CELLS, np.int64)
+        for batch in batches:
+            rare = [(w, n) for w, n in zip(batch["word"], batch["count"]) if w not in own]
+            if rare:
+                words, times = zip(*rare)
+                cells, starts = Spelling.cells(words)
+                np.add.at(tally, cells, np.repeat(times, np.diff(np.append(starts, len(cells)))))
+        used = np.flatnonzero(tally)
+        yield pd.DataFrame({"cell": used, "count": tally[used]})
+
+    return run
+
+
+def spelling_of(counts: DataFrame, own: dict[bytes, int], settings: Settings) -> Spelling:
+    """From the bytes of all words without tokens of their own, each as often as it occurs."""
+    steps = counts.mapInPandas(_count_steps(own), "cell int, count long").groupBy("cell")
+    found = steps.agg(F.sum("count").alias("count")).toPandas()  # at most ``CELLS`` rows
+    tally = np.zeros(Spelling.CELLS)
+    tally[found["cell"].to_numpy(int)] = found["count"]
+    return Spelling(tally, list(own), settings)
+
+
+class Vocabulary:
+    """Tokens of words and the log probabilities of their spelling; remembers words until it has grown."""
 
     LIMIT = 400_000
 
-    def __init__(self, own: dict[bytes, int], settings: Settings):
-        super().__init__(own)
-        self.own, self.settings = own, settings
+    def __init__(self, own: dict[bytes, int], spelling: Spelling, settings: Settings):
+        self.own, self.spelling = own, spelling
+        self.first = settings.tokens - settings.shared
+        self._forget()
+
+    def _forget(self) -> None:
+        self.tokens, self.spelled = dict(self.own), dict.fromkeys(self.own, 0.0)
+
+    def read(self, texts: list[list[bytes]]) -> tuple[list[bytes], list[float]]:
+        """Per text its tokens, and the summed log probability of how its words are spelled."""
+        words = set().union(*texts)
+        if len(self.tokens) + len(words) > self.LIMIT:
+            self._forget()
+        new = list(words - self.tokens.keys())
+        if new:
+            self.tokens.update((w, self.first + w[0] % self.spelling.shared) for w in new)
+            self.spelled.update(zip(new, self.spelling.logs_of(new).tolist()))
+        token, spelled = self.tokens.__getitem__, self.spelled.__getitem__
+        return (
+            [np.fromiter(map(token, t), np.uint16, len(t)).tobytes() for t in texts],
+            [float(sum(map(spelled, t))) for t in texts],
+        )
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-            self.update(self.own)
-        if word in self.own:
-            return self.own[word]
-        s = self.settings
-        token = self[word] = s.tokens - s.shared + xxhash.xxh3_64_intdigest(word) % s.shared
-        return token
 
+#: Texts whose words are looked up together.
+TOGETHER = 64
 
-def _tokenised(docs: DataFrame, own: dict[bytes, int], settings: Settings) -> DataFrame:
+
+def _tokenised(docs: DataFrame, own: dict[bytes, int], spelling: Spelling, settings: Settings) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens = Tokens(own, settings)
+        vocabulary = Vocabulary(own, spelling, settings)
         for batch in batches:
-            ids = [
-                np.fromiter(map(tokens.__getitem__, words), np.uint16, len(words)).tobytes()
-                for words in map(words_of, batch["text"])
-            ]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "tokens": ids})
+            tokens, spelled = [], []
+            for start in range(0, len(batch), TOGETHER):
+                part = batch["text"].iloc[start : start + TOGETHER]
+                more = vocabulary.read(list(map(words_of, part)))
+                tokens += more[0]
+                spelled += more[1]
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "tokens": tokens, "spelled": spelled})
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return map_with_id(rows, run, "doc_id long, tokens binary")
+    return map_with_id(rows, run, "doc_id long, tokens binary, spelled double")
 
 
 # --- network ------------------------------------------------------------------------------------
@@ -176,13 +277,9 @@ class Network:
         classes, place = targets // places, targets % places
         out = hidden @ p["classes"] + p["class_bias"]
         result = out[np.arange(len(out)), classes] - _log_sum(out)
-        order = np.argsort(classes, kind="stable")
-        bounds = np.searchsorted(classes[order], np.arange(self.settings.classes + 1))
-        for c in range(self.settings.classes):
-            rows = order[bounds[c] : bounds[c + 1]]
-            if len(rows):
-                out = hidden[rows] @ p["places"][c] + p["place_bias"][c]
-                result[rows] += out[np.arange(len(rows)), place[rows]] - _log_sum(out)
+        for c, rows in _alike(classes):
+            out = hidden[rows] @ p["places"][c] + p["place_bias"][c]
+            result[rows] += out[np.arange(len(rows)), place[rows]] - _log_sum(out)
         return result.astype(np.float64)
 
     def learn(self, windows: np.ndarray, targets: np.ndarray, squares: "Network") -> None:
@@ -197,8 +294,7 @@ class Network:
         back = out @ p["classes"].T
         steps = {"classes": hidden.T @ out, "class_bias": out.sum(0)}
         places, place_bias = np.zeros_like(p["places"]), np.zeros_like(p["place_bias"])
-        for c in np.unique(classes):
-            mine = np.flatnonzero(classes == c)
+        for c, mine in _alike(classes):
             inner = _softmax(hidden[mine] @ p["places"][c] + p["place_bias"][c])
             inner[np.arange(len(mine)), place[mine]] -= 1
             inner /= len(targets)
@@ -211,15 +307,27 @@ class Network:
             squares.parts[name] += step * step
             p[name] -= s.rate * step / (np.sqrt(squares.parts[name]) + 1e-6)
         for side in range(windows.shape[1]):
-            used, inverse = np.unique(windows[:, side], return_inverse=True)
-            order = np.argsort(inverse, kind="stable")
-            starts = np.searchsorted(inverse[order], np.arange(len(used)))
+            used, order, starts = _sorted_groups(windows[:, side])
             step = np.add.reduceat(back[order], starts, axis=0)
             square = squares.parts["sides"][side]
             square[used] += step * step
             p["sides"][side][used] -= s.rate * step / (np.sqrt(square[used]) + 1e-6)
 
 
+def _sorted_groups(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values below 65,536, the order that sorts them, and where each begins in it."""
+    order = np.argsort(values.astype(np.uint16), kind="stable")
+    ordered = values[order]
+    starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+    return ordered[starts], order, starts
+
+
+def _alike(values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each distinct value with its rows."""
+    used, order, starts = _sorted_groups(values)
+    yield from zip(used, np.split(order, starts[1:]))
+
+
 def _log_sum(x: np.ndarray) -> np.ndarray:
     top = x.max(axis=1)
     return np.log(np.exp(x - top[:, None]).sum(axis=1)) + top
@@ -233,64 +341,100 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 # --- work over documents ------------------------------------------------------------------------
 
 
-def _sequences(batches: Iterator[pd.DataFrame], settings: Settings):
-    """Documents joined with padding between, about ``positions`` words at a time: ids, number of
-    words of each, the padded sequence and the places of its words."""
-    ids, parts, size = [], [], 0
-    for batch in batches:
-        for doc_id, data in zip(batch["doc_id"], batch["tokens"]):
-            ids.append(doc_id)
-            parts.append(np.frombuffer(data, np.uint16))
-            size += len(parts[-1])
-            if size >= settings.positions:
-                yield _joined(ids, parts, settings)
-                ids, parts, size = [], [], 0
-    if ids:
-        yield _joined(ids, parts, settings)
-
-
-def _joined(ids, parts, settings: Settings):
+def _joined(parts: list[np.ndarray], settings: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Documents with padding between: number of words of each, the padded sequence, places of words."""
     gap = settings.sides
     lengths = np.array([len(p) for p in parts])
     starts = gap + np.cumsum(lengths + gap) - lengths - gap
     padded = np.full(int(lengths.sum()) + gap * (len(parts) + 1), settings.tokens, np.int32)
     for start, part in zip(starts, parts):
         padded[start : start + len(part)] = part
-    return ids, lengths, padded, np.flatnonzero(padded != settings.tokens)
+    return lengths, padded, np.flatnonzero(padded != settings.tokens)
+
+
+class Learner:
+    """Improves weights on documents that it is given one by one, in a shuffled order of positions."""
+
+    def __init__(self, number: int, turn: int, weights: np.ndarray, settings: Settings):
+        self.number, self.settings = number, settings
+        self.network = Network(settings, weights)
+        self.squares = Network(settings, np.full(len(weights), 1e-4))
+        self.random = np.random.default_rng([settings.seed, turn, number])
+        self.parts, self.size, self.seen = [], 0, 0
+
+    def add(self, tokens: bytes) -> None:
+        self.parts.append(np.frombuffer(tokens, np.uint16))
+        self.size += len(self.parts[-1])
+        if self.size >= self.settings.positions:
+            self.learn()
+
+    def learn(self) -> None:
+        _, padded, at = _joined(self.parts, self.settings)
+        at = self.random.permutation(at)
+        for start in range(0, len(at), self.settings.batch):
+            part = at[start : start + self.settings.batch]
+            self.network.learn(self.network.windows(padded, part), padded[part], self.squares)
+        self.seen += len(at)
+        self.parts, self.size = [], 0
+
+    def blocks(self, salts: int) -> pd.DataFrame:
+        """The weights times the positions learned from, by blocks."""
+        if self.size:
+            self.learn()
+        flat, block = self.network.flat, self.settings.block
+        starts = range(0, len(flat), block) if self.seen else ()
+        return pd.DataFrame(
+            {
+                "block": np.arange(len(starts)),
+                "salt": self.number % salts,
+                "learner": self.number,
+                "weight": float(self.seen),
+                "values": [(flat[b : b + block] * np.float64(self.seen)).tobytes() for b in starts],
+            }
+        )
 
 
-def _improved(tokens: DataFrame, weights: np.ndarray, turn: int, settings: Settings) -> DataFrame:
-    """``block, salt, weight, values``: what every partition makes of the weights, by blocks."""
+def _improved(tokens: DataFrame, weights: np.ndarray, turn: int, learners: int, settings: Settings) -> DataFrame:
+    """``block, salt, learner, weight, values``: what every learner makes of the weights, by blocks."""
+    salts = _salts(learners)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        network = Network(settings, weights)
-        squares = Network(settings, np.full(len(weights), 1e-4))
-        seen = 0
-        for _, _, padded, at in _sequences(batches, settings):
-            # A fixed share of positions, other ones in each round.
-            chosen = at[(at + turn * 5) % settings.every == 0]
-            for start in range(0, len(chosen), settings.batch):
-                part = chosen[start : start + settings.batch]
-                network.learn(network.windows(padded, part), padded[part], squares)
-            seen += len(chosen)
-        if seen:
-            blocks = range(0, len(weights), settings.block)
-            yield pd.DataFrame(
-                {
-                    "block": np.arange(len(blocks)),
-                    "salt": (seen + np.arange(len(blocks))) % settings.salts,
-                    "weight": float(seen),
-                    "values": [
-                        (network.flat[b : b + settings.block] * np.float64(seen)).tobytes() for b in blocks
-                    ],
-                }
-            )
-
-    return tokens.mapInPandas(run, "block int, salt int, weight double, values binary")
-
-
-def _summed(keys: list[str]):
+        at_work = None
+        for batch in batches:
+            for number, words in zip(batch["learner"].tolist(), batch["tokens"]):
+                if at_work is None or at_work.number != number:
+                    if at_work:
+                        yield at_work.blocks(salts)
+                    at_work = Learner(number, turn, weights, settings)
+                at_work.add(words)
+        if at_work:
+            yield at_work.blocks(salts)
+
+    # Rows without an id may be a great many with one text: those are dealt by their place instead.
+    place = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    dealt = tokens.select("doc_id", "tokens", F.xxhash64("doc_id", "tokens", place).alias("digest"))
+    tasks = min(learners, settings.partitions)
+    learner = F.pmod(F.shiftright("digest", 8), F.lit(learners))
+    return (
+        dealt.where(F.pmod("digest", F.lit(settings.rounds)) == turn)
+        .withColumn("learner", learner)
+        .repartitionById(tasks, F.pmod("learner", F.lit(tasks)).cast("int"))
+        .sortWithinPartitions("learner", "digest", "doc_id")
+        .select("learner", "tokens")
+        .mapInPandas(run, "block int, salt int, learner long, weight double, values binary")
+    )
+
+
+def _salts(learners: int) -> int:
+    """Parts that each block is added up in, of at most 256 learners each."""
+    return -(-learners // 256)
+
+
+def _summed(keys: list[str], by: str):
+    """Sums in the order of ``by``, so that they are the same to the last bit."""
+
     def add(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(by)
         total = sum(np.frombuffer(v) for v in rows["values"])
         first = {k: rows[k].iloc[:1] for k in keys}
         return pd.DataFrame({**first, "weight": rows["weight"].sum(), "values": [total.tobytes()]})
@@ -299,12 +443,12 @@ def _summed(keys: list[str]):
 
 
 def _averaged(improved: DataFrame) -> np.ndarray | None:
-    """Mean over partitions, added up in two steps so that no task meets all partitions."""
+    """Mean over learners, added up in two steps so that no task meets all learners."""
     partial = improved.groupBy("block", "salt").applyInPandas(
-        _summed(["block", "salt"]), "block int, salt int, weight double, values binary"
+        _summed(["block", "salt"], "learner"), "block int, salt int, weight double, values binary"
     )
     whole = partial.groupBy("block").applyInPandas(
-        _summed(["block"]), "block int, weight double, values binary"
+        _summed(["block"], "salt"), "block int, weight double, values binary"
     )
     rows = sorted(whole.collect(), key=lambda r: r["block"])  # the size of the network
     if not rows:
@@ -319,17 +463,19 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> tuple[Network, Da
         counts.orderBy(F.col("count").desc(), "word").limit(settings.tokens - settings.shared).collect()
     )
     own = {bytes(r["word"]): i for i, r in enumerate(common)}
+    spelling = spelling_of(counts, own, settings)
     tally = np.zeros(settings.tokens)
     tally[: len(common)] = [r["count"] for r in common]
-    total = counts.agg(F.sum("count")).first()[0] or 0
-    tally[settings.tokens - settings.shared :] = (total - tally.sum()) / settings.shared
-    tokens = keep(_tokenised(docs, own, settings))
+    tally[settings.tokens - settings.shared :] = np.bincount(
+        np.arange(256) % settings.shared, spelling.firsts, settings.shared
+    )
+    tokens = keep(_tokenised(docs, own, spelling, settings))
     network = Network.begun(settings, tally)
+    learners = max(1, math.ceil(tally.sum() / settings.rounds / settings.share))
     for turn in range(settings.rounds):
-        weights = _averaged(_improved(tokens, network.flat, turn, settings))
-        if weights is None:
-            break
-        network = Network(settings, weights)
+        weights = _averaged(_improved(tokens, network.flat, turn, learners, settings))
+        if weights is not None:
+            network = Network(settings, weights)
     discard(counts)
     return network, tokens
 
@@ -337,15 +483,27 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> tuple[Network, Da
 def apply(network: Network, tokens: DataFrame) -> DataFrame:
     settings = network.settings
 
+    def score(rows: list[tuple]) -> pd.DataFrame:
+        lengths, padded, at = _joined([np.frombuffer(r[1], np.uint16) for r in rows], settings)
+        sums = np.array([r[2] for r in rows])
+        owner = np.repeat(np.arange(len(rows)), lengths)
+        for start in range(0, len(at), 16_384):
+            part = at[start : start + 16_384]
+            logs = network.log_probabilities(network.windows(padded, part), padded[part])
+            sums += np.bincount(owner[start : start + 16_384], logs, len(rows))
+        return pd.DataFrame({"doc_id": [r[0] for r in rows], "n_tokens": lengths, "log_prob": sums})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for ids, lengths, padded, at in _sequences(batches, settings):
-            sums = np.zeros(len(ids))
-            owner = np.repeat(np.arange(len(ids)), lengths)
-            for start in range(0, len(at), 16_384):
-                part = at[start : start + 16_384]
-                logs = network.log_probabilities(network.windows(padded, part), padded[part])
-                sums += np.bincount(owner[start : start + 16_384], logs, len(ids))
-            yield pd.DataFrame({"doc_id": ids, "n_tokens": lengths, "log_prob": sums})
+        rows, size = [], 0
+        for batch in batches:
+            for row in zip(batch["doc_id"], batch["tokens"], batch["spelled"]):
+                rows.append(row)
+                size += len(row[1]) // 2
+                if size >= settings.positions:
+                    yield score(rows)
+                    rows, size = [], 0
+        if rows:
+            yield score(rows)
 
     scored = map_with_id(tokens, run, "doc_id long, n_tokens long, log_prob double")
     mean = F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens"))
@@ -355,9 +513,10 @@ def apply(network: Network, tokens: DataFrame) -> DataFrame:
 def scored(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``doc_id, n_tokens, log_prob, mean_log_prob, perplexity`` for every row of ``docs``.
 
-    All words of the whole text are predicted. Null, empty and blank texts have no words, log_prob 0
-    and null mean and perplexity. Rows with a null id are scored too, repeated rows come back
-    repeated, other columns are ignored.
+    All words of the whole text are predicted, and all are trained on. Null, empty and blank texts have
+    no words, log_prob 0 and null mean and perplexity. Rows with a null id are scored too, repeated rows
+    come back repeated, other columns are ignored. Scores don't depend on the layout of ``docs``, unless
+    rows lack an id: those are dealt to learners by their place.
     """
     network, tokens = train(docs, settings)
     return apply(network, tokens)
