@@ -172,24 +172,29 @@ class Vocabulary:
     def __init__(self, own: dict[bytes, int], spelling: Spelling, settings: Settings):
         self.own, self.spelling = own, spelling
         self.first = settings.tokens - settings.shared
-        self._forget()
+        self._forget(0)
 
-    def _forget(self) -> None:
-        self.tokens, self.spelled = dict(self.own), dict.fromkeys(self.own, 0.0)
+    def _forget(self, room: int) -> None:
+        size = len(self.own) + max(self.LIMIT, room)
+        self.place = dict(self.own)
+        self.token, self.spelled = np.zeros(size, np.uint16), np.zeros(size)
+        self.token[: len(self.own)] = np.arange(len(self.own))
 
     def read(self, texts: list[list[bytes]]) -> tuple[list[bytes], list[float]]:
         """Per text its tokens, and the summed log probability of how its words are spelled."""
         words = set().union(*texts)
-        if len(self.tokens) + len(words) > self.LIMIT:
-            self._forget()
-        new = list(words - self.tokens.keys())
+        if len(self.place) + len(words) > len(self.token):
+            self._forget(len(words))
+        new = [w for w in words if w not in self.place]
         if new:
-            self.tokens.update((w, self.first + w[0] % self.spelling.shared) for w in new)
-            self.spelled.update(zip(new, self.spelling.logs_of(new).tolist()))
-        token, spelled = self.tokens.__getitem__, self.spelled.__getitem__
+            start, end = len(self.place), len(self.place) + len(new)
+            self.place.update(zip(new, range(start, end)))
+            self.token[start:end] = [self.first + w[0] % self.spelling.shared for w in new]
+            self.spelled[start:end] = self.spelling.logs_of(new)
+        places = [np.fromiter(map(self.place.__getitem__, t), np.int32, len(t)) for t in texts]
         return (
-            [np.fromiter(map(token, t), np.uint16, len(t)).tobytes() for t in texts],
-            [float(sum(map(spelled, t))) for t in texts],
+            [self.token[p].tobytes() for p in places],
+            [float(self.spelled[p].sum()) for p in places],
         )
 
 
@@ -262,7 +267,7 @@ class Network:
     def windows(self, padded: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Tokens around positions of a padded sequence, a column for each side and distance."""
         s = self.settings.sides
-        return np.stack([padded[at + d] for d in (*range(-s, 0), *range(1, s + 1))], axis=1)
+        return np.stack([padded[at + d] for d in (*range(-s, 0), *range(1, s + 1))]).T
 
     def hidden(self, windows: np.ndarray) -> np.ndarray:
         sides = self.parts["sides"]
@@ -271,15 +276,25 @@ class Network:
             total += sides[side][windows[:, side]]
         return np.tanh(total)
 
+    def _place_outputs(self, hidden: np.ndarray, classes: np.ndarray):
+        """Rows in the order of their classes: that order, the slice of each class, and the outputs."""
+        p = self.parts
+        used, order, starts = _sorted_groups(classes)
+        parts = [(c, slice(a, b)) for c, a, b in zip(used, starts, np.append(starts[1:], len(order)))]
+        sorted_hidden = hidden[order]
+        out = p["place_bias"][classes[order]]
+        for c, rows in parts:
+            out[rows] += sorted_hidden[rows] @ p["places"][c]
+        return order, parts, out
+
     def log_probabilities(self, windows: np.ndarray, targets: np.ndarray) -> np.ndarray:
         p, places = self.parts, self.settings.places
         hidden = self.hidden(windows)
         classes, place = targets // places, targets % places
         out = hidden @ p["classes"] + p["class_bias"]
         result = out[np.arange(len(out)), classes] - _log_sum(out)
-        for c, rows in _alike(classes):
-            out = hidden[rows] @ p["places"][c] + p["place_bias"][c]
-            result[rows] += out[np.arange(len(rows)), place[rows]] - _log_sum(out)
+        order, _, out = self._place_outputs(hidden, classes)
+        result[order] += out[np.arange(len(out)), place[order]] - _log_sum(out)
         return result.astype(np.float64)
 
     def learn(self, windows: np.ndarray, targets: np.ndarray, squares: "Network") -> None:
@@ -294,12 +309,15 @@ class Network:
         back = out @ p["classes"].T
         steps = {"classes": hidden.T @ out, "class_bias": out.sum(0)}
         places, place_bias = np.zeros_like(p["places"]), np.zeros_like(p["place_bias"])
-        for c, mine in _alike(classes):
-            inner = _softmax(hidden[mine] @ p["places"][c] + p["place_bias"][c])
-            inner[np.arange(len(mine)), place[mine]] -= 1
-            inner /= len(targets)
-            places[c], place_bias[c] = hidden[mine].T @ inner, inner.sum(0)
-            back[mine] += inner @ p["places"][c].T
+        order, parts, inner = self._place_outputs(hidden, classes)
+        inner = _softmax(inner)
+        inner[rows, place[order]] -= 1
+        inner /= len(targets)
+        sorted_hidden, sorted_back = hidden[order], np.empty_like(back)
+        for c, mine in parts:
+            places[c], place_bias[c] = sorted_hidden[mine].T @ inner[mine], inner[mine].sum(0)
+            sorted_back[mine] = inner[mine] @ p["places"][c].T
+        back[order] += sorted_back
         steps |= {"places": places, "place_bias": place_bias}
         back *= 1 - hidden * hidden
         steps["hidden_bias"] = back.sum(0)
@@ -322,12 +340,6 @@ def _sorted_groups(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return ordered[starts], order, starts
 
 
-def _alike(values: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Each distinct value with its rows."""
-    used, order, starts = _sorted_groups(values)
-    yield from zip(used, np.split(order, starts[1:]))
-
-
 def _log_sum(x: np.ndarray) -> np.ndarray:
     top = x.max(axis=1)
     return np.log(np.exp(x - top[:, None]).sum(axis=1)) + top
