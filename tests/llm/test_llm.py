@@ -745,3 +745,37 @@ def test_words_are_spelled(spark):
     # each next byte's chances sum to 1, so those of all words do
     assert np.allclose(np.exp(spelling.steps.reshape(-1, 256)).sum(1), 1, atol=1e-4)
     assert np.allclose(np.bincount(np.arange(256) % 3, np.exp(spelling.first)), 1)
+
+
+def test_quality_risk_against_row_by_row():
+    """A few steps on a small sample, with the risk and its slope summed row by row, both with a risk above
+    zero and with one below, where the step goes back."""
+    rng = np.random.default_rng(2)
+    positive, unlabelled = np.abs(rng.normal(0.5, 1, (9, 3))), np.abs(rng.normal(0, 1, (14, 3)))
+    for prior, steps in ((0.3, 5), (0.9, 200)):
+        settings = quality.Settings(steps=steps)
+        contrast = quality.fit_contrast(positive, unlabelled, settings)
+        p, u = contrast.inputs(positive).tolist(), contrast.inputs(unlabelled).tolist()
+        kinds = set()
+
+        def slope(w):
+            def sigmoid(x):
+                return 1 / (1 + math.exp(-sum(a * b for a, b in zip(x, w))))
+
+            good, bad, risk = [0.0] * len(w), [0.0] * len(w), 0.0
+            for x in p:
+                risk += prior * math.log(1 - sigmoid(x)) / len(p)
+                for i, a in enumerate(x):
+                    good[i] += prior * (sigmoid(x) - 1) * a / len(p)
+                    bad[i] -= prior * sigmoid(x) * a / len(p)
+            for x in u:
+                risk -= math.log(1 - sigmoid(x)) / len(u)
+                for i, a in enumerate(x):
+                    bad[i] += sigmoid(x) * a / len(u)
+            kinds.add(risk >= 0)
+            return np.array([g + b if risk >= 0 else -b for g, b in zip(good, bad)])
+
+        want = quality._descend(slope, len(p[0]), len(p), settings)
+        got = quality.fit_non_negative(contrast, positive, unlabelled, prior, settings)
+        assert np.allclose(got.weights, want, atol=1e-6) and True in kinds
+    assert kinds == {True, False}
