@@ -121,3 +121,33 @@ def test_filters_have_no_false_negatives_and_few_false_hits(spark):
         return np.mean([any(X._holds(b, keys[[i]], spread[[i]]) for b in blocks) for i in range(len(own))])
 
     assert share("known") == 1 and share("other") < 0.01
+
+
+def test_summaries_are_made_by_many_tasks_and_hold_each_key_of_their_file(spark, history, tmp_path):
+    """The bits are those of the file's keys, and no single task makes or writes the summaries of all files."""
+    stored = spark.read.schema(R._STORED).parquet(history)
+    found = {(r["file"], r["batch_id"], str(r["event_date"]), r["kind"]): r for r in X.summaries(stored).collect()}
+    keyed = stored.select(
+        F.col("_metadata.file_name").alias("file"), "event_date", "batch_id", X.key_hash("user_id").alias("key")
+    ).toPandas()
+    assert len(found) == 2 * len(spark.read.schema(R._STORED).parquet(history).inputFiles())
+    for (file, day, batch), rows in keyed.groupby(["file", "event_date", "batch_id"]):
+        row = found[file, batch, str(day), "user"]
+        wanted = np.zeros(X.BLOCK_BITS, np.uint8)
+        for i in range(X.HASHES):
+            wanted[(rows.key.to_numpy() >> (15 * i)) & (X.BLOCK_BITS - 1)] = 1
+        bits = np.unpackbits(np.frombuffer(row["bits"], np.uint8), bitorder="little")
+        assert row["blocks"] == 1 and (bits == wanted).all()
+        assert (row["least"], row["most"]) == (rows.key.min(), rows.key.max())
+
+    context, setting = spark.sparkContext, "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    context.setJobGroup("summaries", "")
+    try:
+        X.write_summaries(stored, str(tmp_path / "other"))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.unset(setting)
+    tracker = context.statusTracker()
+    stages = [i for job in tracker.getJobIdsForGroup("summaries") for i in tracker.getJobInfo(job).stageIds]
+    assert tracker.getStageInfo(max(stages)).numTasks > 1

@@ -37,37 +37,54 @@ def _block_hash(column: str) -> Column:
     return F.xxhash64(F.col(column), F.lit(1))
 
 
+def _pieces(key: Column) -> list[Column]:
+    return [F.shiftright(key, 15 * i).bitwiseAND(BLOCK_BITS - 1) for i in range(HASHES)]
+
+
 def _positions(key: Column) -> Column:
-    pieces = [F.shiftright(key, 15 * i).bitwiseAND(BLOCK_BITS - 1) for i in range(HASHES)]
-    return F.array_distinct(F.array(*pieces))
+    return F.array_distinct(F.array(*_pieces(key)))
 
 
 def summaries(rows: DataFrame) -> DataFrame:
     """Per file, kind and block of the filter one row, from history rows with ``_metadata``.
 
-    Keys are made distinct per file first; their bits are combined before the shuffle.
+    Keys are made distinct per file first. They travel with a hash of their file's name only; were two files
+    to share it, each would get the keys of both, and none would be missing. A key sets all its bits in one
+    row of its block, so no row is multiplied before the shuffle that brings blocks together.
     """
-    place = [F.col("_metadata.file_name").alias("file"), *_PARTS]
+    name = ["file", *_PARTS]
+    named = rows.withColumn("file", F.col("_metadata.file_name"))
+    place = F.xxhash64(*name).alias("place")
     keys = None
     for kind, column in KINDS.items():
-        some = rows.filter(F.col(column).isNotNull()).select(
-            *place, F.lit(kind).alias("kind"), key_hash(column).alias("key"), _block_hash(column).alias("spread")
+        some = named.filter(F.col(column).isNotNull()).select(
+            place, F.lit(kind).alias("kind"), key_hash(column).alias("key"), _block_hash(column).alias("spread")
         )
         keys = some if keys is None else keys.unionByName(some)
     keys = keys.distinct()
-    name = ["file", *_PARTS, "kind"]
     wanted = F.greatest(F.lit(1.0), F.count(F.lit(1)) * BITS_PER_KEY / F.lit(BLOCK_BITS))
-    sizes = keys.groupBy(*name).agg(
+    sizes = keys.groupBy("place", "kind").agg(
         F.pow(F.lit(2), F.ceil(F.log2(wanted))).cast("bigint").alias("blocks"),
         F.min("key").alias("least"),
         F.max("key").alias("most"),
     )
-    return (
-        keys.join(sizes, name)
-        .withColumn("block", F.col("spread").bitwiseAND(F.col("blocks") - 1))
-        .withColumn("position", F.explode(_positions(F.col("key"))))
-        .groupBy(*name, "blocks", "least", "most", "block")
-        .agg(F.bitmap_construct_agg("position").alias("bits"))
+    spread = keys.join(F.broadcast(sizes.select("place", "kind", "blocks")), ["place", "kind"]).select(
+        "place", "kind", F.col("spread").bitwiseAND(F.col("blocks") - 1).alias("block"), "key"
+    )
+    maps = [F.bitmap_construct_agg(p).alias(f"bits_{i}") for i, p in enumerate(_pieces(F.col("key")))]
+    bits = (
+        spread.repartition("place", "kind", "block")
+        .groupBy("place", "kind", "block")
+        .agg(*maps)
+        .select("place", "kind", "block", F.explode(F.array(*[f"bits_{i}" for i in range(HASHES)])).alias("bits"))
+        .groupBy("place", "kind", "block")
+        .agg(F.bitmap_or_agg("bits").alias("bits"))
+    )
+    # One row per file, and one per file and kind: the driver lists the files as well.
+    files = named.select(place, *name).distinct()
+    described = F.broadcast(files.join(sizes, "place"))
+    return bits.join(described, ["place", "kind"]).select(
+        *name, "kind", "blocks", "least", "most", "block", "bits"
     )
 
 
@@ -75,7 +92,8 @@ def write_summaries(stored: DataFrame, history: str) -> None:
     """Summarise the files that ``stored`` reads, replacing what their batches had before."""
     (
         summaries(stored)
-        .coalesce(1)
+        # Few files per batch, written by as many tasks as the size asks for.
+        .hint("rebalance", *_PARTS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*_PARTS)
