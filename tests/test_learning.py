@@ -182,3 +182,20 @@ def test_unknown_and_missing_models(spark, features, tmp_path):
         L.load(spark, str(tmp_path), "nope")
     with pytest.raises(FileNotFoundError):
         L.load(spark, str(tmp_path), "gbt")
+
+
+def test_trees_train_on_even_tasks(spark, monkeypatch):
+    """However the feature table is cut, trees pass over tasks of equal size."""
+    assert [L.even_tasks(n, 12) for n in (0, 500, 5_500, 4_800_000, 28_800_000)] == [1, 1, 6, 24, 120]
+    seen = []
+
+    class Spy:
+        def fit(self, matrix):
+            seen.extend(matrix.rdd.glom().map(len).collect())
+            raise InterruptedError
+
+    features = feature_table(Fixture(spark, "/root/testdata/sf0.01")).coalesce(1)
+    monkeypatch.setattr(L, "estimator", lambda *_: Spy())
+    with pytest.raises(InterruptedError):
+        L.train(features, "rf")
+    assert len(seen) == spark.sparkContext.defaultParallelism and max(seen) - min(seen) <= len(seen)
