@@ -95,3 +95,20 @@ def test_numbers_and_running_sums_across_partitions(spark):
         assert {r["total_v"] for r in summed} == {sum(i % 7 for i in range(1000))}
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_heavy_keys_read_the_input_a_fixed_number_of_times(spark):
+    """Two counts of keys, one narrow copy per key column, one reading each for heavy and other users."""
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(r):
+        reads.add(1)
+        return r
+
+    plain = transactions(spark, [row(i, i * 5000, payment=i % 3, user=i % 2) for i in range(40)])
+    tx = spark.createDataFrame(plain.rdd.map(counted), plain.schema)
+    merchants = spark.createDataFrame([(1, "Travel")], "merchant_id bigint, merchant_category string")
+    methods = spark.createDataFrame([(1, at(0))], "payment_method_id bigint, created_at timestamp")
+    reads.value = 0
+    rows = P.all_features(tx, merchants, methods, heavy_rows=0).collect()
+    assert len(rows) == 40 and reads.value <= 6 * 40

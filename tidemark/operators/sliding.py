@@ -10,8 +10,9 @@ within ``seconds`` before it and closes ``seconds + 1`` after an occurrence that
 Two physical forms give the same answer:
 
 * ``_windowed``: one hash exchange by key, then only in-partition sorts. For ordinary keys.
-* ``_sliced``: rows are first combined to one row per key and second, and every group is one
-  key and day, at most 86,400 rows however many transactions the key has. For heavy keys.
+* ``_sliced``: rows are first combined to one row per key and second, and every group is one key
+  and week, with the seconds before it that its frames reach back to: at most 604,800 seconds and as
+  many as the longest frame has seconds, however many transactions the key has. For heavy keys.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from tidemark.operators.skew import HEAVY_KEY_ROWS, heavy_keys, split_heavy
 from tidemark.schemas import DAY
 from tidemark.session import materialize
 
-SLICE_SECONDS = DAY
+SLICE_SECONDS = 7 * DAY
 
 
 @dataclass(frozen=True)
@@ -203,81 +204,45 @@ def _windowed(
 # --------------------------------------------------------------------------------- heavy keys
 
 
-def _slice(time: str) -> F.Column:
-    return F.floor(F.col(time) / SLICE_SECONDS)
+def _slice(time: str, later: int = 0) -> F.Column:
+    return F.floor((F.col(time) + later) / SLICE_SECONDS)
 
 
-def _successions(seconds: DataFrame, group: list[str], time: str) -> DataFrame:
-    """Pairs ``(_prev, _next)`` of seconds that follow each other within a group.
+def _reached(time: str, seconds: int) -> F.Column:
+    """One row per slice with a frame of that length that can hold the second: its own, and the next
+    ones if the second is near enough."""
+    return F.explode(F.sequence(_slice(time), _slice(time, seconds)))
 
-    ``seconds`` holds each second of a group once. The first second of a group comes with a NULL
-    ``_prev``, the last with a NULL ``_next``. Pairs inside a day are found in groups of one day;
-    pairs that span days come from the first and last second of each day, one row per day.
-    """
-    seconds = seconds.withColumn("_slice", _slice(time))
-    inside = Window.partitionBy(*group, "_slice").orderBy(time)
-    within = seconds.select(
-        *group, F.lag(time).over(inside).alias("_prev"), F.col(time).alias("_next")
-    ).filter(F.col("_prev").isNotNull())
 
+def _last_before(seconds: DataFrame, group: list[str], time: str) -> DataFrame:
+    """Per group and slice the group's last second before the slice, where it has one."""
     across = Window.partitionBy(*group).orderBy("_slice")
-    pair = "struct<_prev: bigint, _next: bigint>"
-    between = (
-        seconds.groupBy(*group, "_slice")
-        .agg(F.min(time).alias("_lo"), F.max(time).alias("_hi"))
-        .select(
-            *group,
-            "_hi",
-            F.struct(F.lag("_hi").over(across).alias("_prev"), F.col("_lo").alias("_next"))
-            .cast(pair)
-            .alias("_into"),
-            F.lead("_lo").over(across).isNull().alias("_is_last"),
-        )
-        .select(
-            *group,
-            F.inline(
-                F.array_compact(
-                    F.array(
-                        F.col("_into"),
-                        F.when(
-                            F.col("_is_last"),
-                            F.struct(F.col("_hi").alias("_prev"), F.lit(None).alias("_next")),
-                        ).cast(pair),
-                    )
-                )
-            ),
-        )
+    return (
+        seconds.groupBy(*group, _slice(time).alias("_slice"))
+        .agg(F.max(time).alias("_last"))
+        .select(*group, "_slice", F.lag("_last").over(across).alias(time))
+        .filter(F.col(time).isNotNull())
     )
-    return within.unionByName(between)
 
 
-def _running_totals(
-    changes: DataFrame, key: str, time: str, names: list[str], others: list[str]
+def _marks(
+    occurrences: DataFrame, key: str, time: str, distincts: list[FrameDistinct], index: dict[str, int]
 ) -> DataFrame:
-    """Sum of all changes up to each second: within the day, plus what earlier days carry over."""
-    changes = changes.withColumn("_slice", _slice(time))
-    inside = (
-        Window.partitionBy(key, "_slice")
-        .orderBy(time)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    earlier = (
-        Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = (
-        changes.groupBy(key, "_slice")
-        .agg(*[F.sum(n).alias(n) for n in names])
-        .select(key, "_slice", *[F.sum(n).over(earlier).alias(f"_carry_{n}") for n in names])
-    )
+    """Per key, slice and second the stretches that open and that have their last occurrence there."""
+    reach = max(m.seconds for m in distincts)
+    w = Window.partitionBy(key, "_column", "_value", "_slice").orderBy(time)
+    counts = []
+    for m in distincts:
+        mine = F.col("_column") == index[m.column]
+        counts += [
+            F.count_if(mine & _opens(time, "_prev", m.seconds)).alias(f"_open_{m.name}"),
+            F.count_if(mine & _closes(time, "_next", m.seconds)).alias(f"_close_{m.name}"),
+        ]
     return (
-        changes.withColumns({n: F.sum(n).over(inside) for n in names})
-        .join(carried, [key, "_slice"])
-        .select(
-            key,
-            time,
-            *others,
-            *[(F.col(n) + F.coalesce(f"_carry_{n}", F.lit(0))).alias(n) for n in names],
-        )
+        occurrences.withColumn("_slice", _reached(time, reach))
+        .withColumns({"_prev": F.lag(time).over(w), "_next": F.lead(time).over(w)})
+        .groupBy(key, "_slice", time)
+        .agg(*counts)
     )
 
 
@@ -290,89 +255,68 @@ def _sliced(
     measures: Sequence[Measure],
 ) -> DataFrame:
     columns = df.columns
-    source = source.filter(_framed(key, time))
     sums, distincts = _of(measures, FrameSum), _of(measures, FrameDistinct)
     gaps, novelties = _of(measures, Gap), _of(measures, Novelty)
-    additive = [m.name for m in (*sums, *distincts)]
-    valued = _value_columns(measures)
+    added = {e: f"_sum{i}" for i, e in enumerate(dict.fromkeys(m.expression for m in sums))}
+    index = {c: i for i, c in enumerate(_value_columns(measures))}
+    values = {c: f"_value{i}" for c, i in index.items()}
+
+    # Read several times below, so the lookups and the choice of keys are done once.
+    source = materialize(
+        source.filter(_framed(key, time)).select(
+            key,
+            time,
+            *[F.expr(e).alias(n) for e, n in added.items()],
+            *[F.col(c).cast("string").alias(n) for c, n in values.items()],
+        )
+    )
+    own = F.col("_slice") == _slice(time)
 
     # One row per key and second, combined before the shuffle.
     ledger = source.groupBy(key, time).agg(
-        *[F.coalesce(F.sum(F.expr(m.expression)), F.lit(0)).alias(m.name) for m in sums],
-        F.lit(True).alias("_any"),
+        *[F.sum(n).alias(n) for n in added.values()], F.lit(True).alias("_any")
     )
     types = {f.name: f.dataType for f in ledger.schema.fields}
-
-    def change(at: F.Column, values: dict[str, F.Column]) -> F.Column:
-        """What happens at one second: additions per measure, previous second."""
-        null = F.lit(None)
-        return F.struct(
-            at.alias(time),
-            *[
-                values.get(n, F.lit(0)).cast(types.get(n, "bigint")).alias(n) for n in additive
-            ],
-            values.get("_prev", null).cast("bigint").alias("_prev"),
-        )
-
-    # A second enters every frame when it happens and leaves each one when that frame has passed.
-    arrival = {m.name: F.col(m.name) for m in sums}
-    steps = [change(F.col(time), arrival)]
-    for length in sorted({m.seconds for m in sums}):
-        leaving = {m.name: -F.col(m.name) for m in sums if m.seconds == length}
-        steps.append(change(F.col(time) + length + 1, leaving))
-    changes = [ledger.select(key, F.inline(F.array(*steps)))]
-
+    parts = [ledger.withColumn("_slice", _reached(time, max([m.seconds for m in sums], default=0)))]
     if gaps:
-        changes.append(
-            _successions(source.select(key, time).distinct(), [key], time)
-            .filter(F.col("_next").isNotNull())
-            .select(key, F.inline(F.array(change(F.col("_next"), {"_prev": F.col("_prev")}))))
-        )
-
-    successions = None
-    if valued:
+        parts.append(_last_before(source, [key], time).withColumn("_any", F.lit(True)))
+    if distincts:
+        counted = dict.fromkeys(m.column for m in distincts)
+        pair = [F.struct(F.lit(index[c]).alias("_column"), F.col(values[c]).alias("_value")) for c in counted]
         occurrences = (
-            source.select(
-                key,
-                time,
-                F.inline(
-                    F.array(
-                        *[
-                            F.struct(
-                                F.lit(i).alias("_column"), F.col(c).cast("string").alias("_value")
-                            )
-                            for i, c in enumerate(valued)
-                        ]
-                    )
-                ),
-            )
+            source.select(key, time, F.inline(F.array(*pair)))
             .filter(F.col("_value").isNotNull())
             .distinct()
         )
-        successions = _successions(occurrences, [key, "_column", "_value"], time)
-    if distincts:
-        marks = []
-        for m in distincts:
-            apart = (F.col("_column") == valued.index(m.column)) & F.coalesce(
-                F.col("_next") - F.col("_prev") > m.seconds, F.lit(True)
-            )
-            opens = apart & F.col("_next").isNotNull()
-            closes = apart & F.col("_prev").isNotNull()
-            marks.append(F.when(opens, change(F.col("_next"), {m.name: F.lit(1)})))
-            closing = F.col("_prev") + m.seconds + 1
-            marks.append(F.when(closes, change(closing, {m.name: F.lit(-1)})))
-        changes.append(successions.select(key, F.inline(F.array_compact(F.array(*marks)))))
-
-    merged = (
-        reduce(DataFrame.unionByName, changes)
-        .groupBy(key, time)
-        .agg(
-            *[F.sum(n).alias(n) for n in additive],
-            F.max("_prev").alias("_prev"),
-        )
+        parts.append(_marks(occurrences, key, time, distincts, index))
+
+    # A slice holds all that its frames reach back to, so no total has to come from another one.
+    w = Window.partitionBy(key, "_slice").orderBy(time)
+    before = Window.unboundedPreceding
+
+    running: dict[str, F.Column] = {}
+
+    def difference(total: str, left: str, seconds: int) -> F.Column:
+        entered, passed = f"_in{total}", f"_out{left}_{seconds}"
+        running[entered] = F.sum(total).over(w.rangeBetween(before, 0))
+        running[passed] = F.sum(left).over(w.rangeBetween(before, -(seconds + 1)))
+        return F.coalesce(F.col(entered), F.lit(0)) - F.coalesce(F.col(passed), F.lit(0))
+
+    framed = {}
+    for m in sums:
+        total = added[m.expression]
+        framed[m.name] = difference(total, total, m.seconds).cast(types[total])
+    for m in distincts:
+        framed[m.name] = difference(f"_open_{m.name}", f"_close_{m.name}", m.seconds)
+    if gaps:
+        running["_prev"] = F.max(F.when(F.col("_any"), F.col(time))).over(w.rangeBetween(before, -1))
+        framed["_prev"] = F.col("_prev")
+    totals = (
+        reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+        .withColumns(running)
+        .filter(F.col("_any") & own)
+        .select(key, time, *[c.alias(n) for n, c in framed.items()])
     )
-    # Read twice below; at most one row per key and second, so cheap to keep.
-    totals = _running_totals(materialize(merged), key, time, additive, ["_prev"])
     result = df.join(totals, [key, time], "left")
     for m in gaps:
         same = Window.partitionBy(key, time).orderBy(row_id)
@@ -380,13 +324,18 @@ def _sliced(
             m.name, F.when(F.col("_nth") == 1, F.col(time) - F.col("_prev")).otherwise(0)
         )
     for m in novelties:
-        known = successions.filter(
-            (F.col("_column") == valued.index(m.column)) & F.col("_next").isNotNull()
-        ).select(
-            key,
-            F.col("_value").alias("_known_value"),
-            F.col("_next").alias(time),
-            (F.col("_next") - F.col("_prev") <= m.seconds).alias("_known"),
+        seen = (
+            source.select(key, F.col(values[m.column]).alias("_known_value"), time)
+            .filter(F.col("_known_value").isNotNull())
+            .distinct()
+        )
+        w = Window.partitionBy(key, "_known_value", "_slice").orderBy(time)
+        known = (
+            seen.withColumn("_slice", _slice(time))
+            .unionByName(_last_before(seen, [key, "_known_value"], time))
+            .withColumn("_prev", F.lag(time).over(w))
+            .filter(own & (F.col(time) - F.col("_prev") <= m.seconds))
+            .select(key, "_known_value", time, F.lit(True).alias("_known"))
         )
         result = (
             result.withColumn("_known_value", F.col(m.column).cast("string"))

@@ -24,6 +24,7 @@ from tidemark.operators.sketches import FrameApproxDistinct, approximate_distinc
 from tidemark.operators.skew import HEAVY_KEY_ROWS, heavy_keys
 from tidemark.operators.sliding import FrameDistinct, FrameSum, Gap, Measure, Novelty, sliding
 from tidemark.schemas import DAY, DECLINED, HOUR, LONGEST_LOOKBACK, MINUTE
+from tidemark.session import materialize
 
 ROW_ID = "transaction_id"
 TIME = "_seconds"
@@ -197,6 +198,8 @@ def _compute(
     if by_user:
         rows = sliding(rows, "user_id", TIME, ROW_ID, by_user, heavy, source=source)
     if by_device:
+        if by_user and heavy["device_id"] is not None:
+            rows = materialize(rows)  # read for the heavy and for the other devices
         rows = sliding(rows, "device_id", TIME, ROW_ID, by_device, heavy, source=source)
     for key, measures in estimated.items():
         if measures:
