@@ -779,3 +779,22 @@ def test_quality_risk_against_row_by_row():
         got = quality.fit_non_negative(contrast, positive, unlabelled, prior, settings)
         assert np.allclose(got.weights, want, atol=1e-6) and True in kinds
     assert kinds == {True, False}
+
+
+def test_places_in_buckets_are_not_broadcast(spark, monkeypatch):
+    """An explode makes 32 rows of each text, which Spark's estimate leaves out."""
+    plans = []
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return kept(df)
+
+    kept = minhash.keep
+    monkeypatch.setattr(minhash, "keep", noted)
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(WORDS) for _ in range(30)) for _ in range(40)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 2)], "doc_id long, text string")
+    assert minhash.near_duplicates(docs).where("not kept").count() == 40
+    (plan,) = [p for p in plans if "explode(bands" in p]
+    on_bucket = [line for line in plan.split("\n") if "Join [bucket" in line]
+    assert on_bucket and all("SortMergeJoin" in line for line in on_bucket)

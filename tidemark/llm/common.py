@@ -60,8 +60,9 @@ def discard(*kept: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
-#: Ids that are sent to every task at most (16 MB); beyond that the join shuffles both sides.
-BROADCAST_IDS = 2_000_000
+#: Ids that are sent to every task at most; beyond that the join shuffles both sides. Spark's table of them
+#: takes about 80 bytes each, and twice that just after it has grown (203,235 ids: 16.8 MB).
+BROADCAST_IDS = 500_000
 
 
 def sent_ids(ids: DataFrame) -> DataFrame:

@@ -301,7 +301,8 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 
 def _links(docs: DataFrame, singles: DataFrame, settings: Settings) -> DataFrame:
     """Confirmed links between classes: a spanning forest of every block."""
-    places = singles.select("node", F.explode("bands").alias("bucket"))
+    # Spark takes an explode to add no rows and would broadcast the places of up to 300,000 texts: 32 rows each.
+    places = singles.select("node", F.explode("bands").alias("bucket")).hint("merge")
     shared = (
         places.groupBy("bucket")
         .agg(F.count(F.lit(1)).alias("size"))
