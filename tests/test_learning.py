@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -199,3 +200,26 @@ def test_trees_train_on_even_tasks(spark, monkeypatch):
     with pytest.raises(InterruptedError):
         L.train(features, "rf")
     assert len(seen) == spark.sparkContext.defaultParallelism and max(seen) - min(seen) <= len(seen)
+
+
+def test_made_rows_between_ends_that_are_copies(spark, tmp_path):
+    """Equal rows with ids of different lengths: the smallest id as a number is not the smallest as text."""
+    from tidemark.queries import REGISTRY
+
+    for name in ("part", "customer", "supplier"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    copies = spark.range(3).selectExpr("id * 100000 as shift")
+    events.crossJoin(copies).selectExpr(
+        "event_id + shift as event_id", "ts", "user_id + 3 * shift as user_id", "event_type", "value", "props"
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    (row,) = REGISTRY["u04_rows_between_named_ends"](spark, str(tmp_path)).collect()
+    counted = REGISTRY["u04_oversampled_rows"](spark, str(tmp_path)).collect()
+    known = {r["is_fraudulent"]: r["rows"] for r in counted if not r["is_made"]}
+    assert all(r["rows"] == r["between"] for r in counted) and len(counted) == 3
+    assert row.asDict() == {
+        "made": known[0] - known[1],
+        "between_ends": True,
+        "ends_are_near": True,
+        "starts_evenly": True,
+    }

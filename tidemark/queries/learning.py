@@ -429,18 +429,37 @@ def _(fx):
     neighbour is one of the five nearest of the start; all starts serve equally often, to one."""
     prepared = D.prepare(feature_table(fx))
     train = prepared.train.fillna(0.0, subset=prepared.inputs)
-    rows = materialize(O.oversample(train, prepared.inputs, ID, named=True))
+    rows = O.oversample(train, prepared.inputs, ID, named=True)
     vector = F.array(*[F.col(f"`{c}`") for c in prepared.inputs])
     known = train.filter(F.col(S.LABEL) == 1).select(F.col(ID).cast("string").alias("id"), vector.alias("at"))
     ends = {
         name: known.select(F.col("id").alias(f"{name}_id"), F.col("at").alias(name))
         for name in ("start", "neighbour")
     }
-    made = (
-        rows.filter(F.col("start_id").isNotNull())
-        .select("start_id", "neighbour_id", "step", vector.alias("made"))
-        .join(ends["start"], "start_id")
+    made = rows.filter(F.col("start_id").isNotNull()).select(
+        "start_id", F.col("neighbour_id").alias("named"), "step", vector.alias("made")
+    )
+    # Points are named by ids as they are: as texts, 10 would come before 9 where oversampling prefers 9.
+    minority = train.filter(F.col(S.LABEL) == 1).select(ID, vector.alias("vector"))
+    points = materialize(O.distinct_points(minority, ID))
+    named = {"start_id": F.col("point").cast("string"), "neighbour_id": F.col("neighbour").cast("string")}
+    near = O.nearest_neighbours(points).withColumns(named).select(*named, F.lit(True).alias("near"))
+    # The few neighbours that a start's rows name come to it as a list, so that the made rows, of which
+    # there may be many more, are shuffled once and not for each of the three tables.
+    listed = (
+        made.select("start_id", F.col("named").alias("neighbour_id"))
+        .distinct()
+        .join(near, ["start_id", "neighbour_id"], "left")
         .join(ends["neighbour"], "neighbour_id")
+        .groupBy("start_id")
+        .agg(F.collect_list(F.struct("neighbour_id", "neighbour", "near")).alias("ends"))
+        .join(ends["start"], "start_id")
+    )
+    own = F.filter("ends", lambda end: end["neighbour_id"] == F.col("named"))
+    joined = (
+        made.join(listed, "start_id")
+        .select("start_id", "start", "step", "made", F.explode(own).alias("end"))
+        .select("start_id", "start", "step", "made", "end.*")
     )
     on_line = F.forall(
         F.zip_with(
@@ -450,16 +469,11 @@ def _(fx):
         ),
         lambda held: held,
     ) & F.col("step").between(0, 1)
-    points = materialize(O.distinct_points(known.withColumnRenamed("at", "vector"), "id"))
-    near = O.nearest_neighbours(points).select(
-        F.col("point").alias("start_id"), F.col("neighbour").alias("neighbour_id"), F.lit(True).alias("near")
-    )
-    joined = made.join(near, ["start_id", "neighbour_id"], "left")
     per_start = joined.groupBy("start_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(on_line).alias("on_line"),
         F.count_if(F.col("near") | (F.col("start_id") == F.col("neighbour_id"))).alias("near"),
-    ).join(points.select(F.col("point").alias("start_id"), "copies"), "start_id")
+    ).join(points.select(F.col("point").cast("string").alias("start_id"), "copies"), "start_id")
     each = F.col("n") / F.col("copies")
     return per_start.agg(
         F.sum("n").alias("made"),
