@@ -496,11 +496,11 @@ def _(fx):
     """Rows by origin and class, and how many lie between the least and the largest values that
     rows of their class have in the training part."""
     prepared = D.prepare(feature_table(fx))
-    rows = materialize(O.oversample(prepared.train, prepared.inputs, ID))
+    rows = O.oversample(prepared.train, prepared.inputs, ID)
     made = F.col(ID).contains("~")
     values = [f"`{c}`" for c in prepared.inputs]
-    # One row per class.
-    known = rows.filter(~made).groupBy(S.LABEL).agg(
+    # One row per class, from the rows themselves: the made ones are made once and written nowhere.
+    known = prepared.train.filter(~made).groupBy(S.LABEL).agg(
         F.array(*[F.min(v) for v in values]).alias("least"),
         F.array(*[F.max(v) for v in values]).alias("most"),
     )
