@@ -202,6 +202,39 @@ def test_trees_train_on_even_tasks(spark, monkeypatch):
     assert len(seen) == spark.sparkContext.defaultParallelism and max(seen) - min(seen) <= len(seen)
 
 
+def test_neighbours_in_many_parts_and_shares(spark, monkeypatch):
+    """Parts of cells and shares of a few points; odd vectors are near nothing; nothing is shipped per pair of blocks."""
+    monkeypatch.setattr(O, "PART_POINTS", 30)
+    monkeypatch.setattr(O, "SENT_BYTES", 3_000)
+    rng = random.Random(6)
+    vectors = [(rng.gauss(0, 1e6), float(rng.randrange(3)), rng.gauss(0, 1)) for _ in range(300)]
+    vectors[10:20] = [(5e5, 1.0, float(i % 2)) for i in range(10)]  # ties, also at distance 0
+    rows = [(f"p{i:03}", list(v)) for i, v in enumerate(vectors)]
+    odd = [("n", [1.0, None, 2.0]), ("o", [math.nan, 1.0, 2.0]), ("q", [1.0, math.inf, 2.0])]
+    df = spark.createDataFrame(rows + odd, "point string, vector array<double>")
+    found = O.nearest_neighbours(df, 5, pivots=4, block_points=8)
+    assert "CoGroups" not in found._jdf.queryExecution().executedPlan().toString()
+    got = {}
+    for r in found.collect():
+        got.setdefault(r["point"], {})[r["rank"]] = (r["distance"], r["neighbour"])
+    assert set(got) == {name for name, _ in rows}
+    for i, v in rows:
+        expected = sorted((math.dist(v, w), j) for j, w in rows if j != i)[:5]
+        assert [got[i][n][1] for n in range(1, 6)] == [j for _, j in expected]
+        assert np.allclose([got[i][n][0] for n in range(1, 6)], [d for d, _ in expected])
+
+
+def test_neighbours_of_large_numbers_close_together(spark):
+    """Squared distances made of products would lose all digits here."""
+    x = np.random.default_rng(8).normal(size=(400, 3)) * 1e-3 + np.array([1e9, -1e9, 1e8])
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "point bigint, vector array<double>")
+    for r in O.nearest_neighbours(df, 3, pivots=3, block_points=40).filter("rank = 1").collect():
+        apart = np.sqrt(((x - x[r["point"]]) ** 2).sum(axis=1))
+        apart[r["point"]] = np.inf
+        assert r["neighbour"] == apart.argmin() and r["distance"] == apart.min()
+
+
 def test_made_rows_between_ends_that_are_copies(spark, tmp_path):
     """Equal rows with ids of different lengths: the smallest id as a number is not the smallest as text."""
     from tidemark.queries import REGISTRY
