@@ -4,6 +4,7 @@ import random
 import time
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tidemark.operators import sketches as K
@@ -102,3 +103,43 @@ def test_odd_rows_and_day_borders(spark):
         0: (1, 1), 1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (2, 1), 5: (0, 0), 6: (0, 0), 7: (1, 0), 8: (1, 1), 9: (2, 1)
     }
     assert K.approximate_distincts(df.limit(0), "k", "t", measures).count() == 0
+
+
+def test_small_frames_of_many_keys_are_counted_together(monkeypatch):
+    """Equal to sketches made anew, without a frame being moved; a large group still moves one."""
+    rng = random.Random(5)
+    measures = [K.FrameApproxDistinct("a", "v", 50, 64), K.FrameApproxDistinct("b", "v", 400, 512)]
+
+    def made(key, measure, n, span):
+        seconds = sorted(1_000 + rng.randrange(span) for _ in range(n))
+        values = hashes(n).tolist()
+        return [(key, measure, 0, s, s > 1_200, rng.random() < 0.8, v) for s, v in zip(seconds, values)]
+
+    def run(rows, size):
+        table = pd.DataFrame(rows, columns=K._Rows.names)
+        batches = (table.iloc[i : i + size] for i in range(0, len(table), size))
+        out = pd.concat(list(K._estimator(measures, ["key", "measure", "second", "count"])(batches)))
+        return {(k, m, s): c for k, m, s, c in out.itertuples(index=False)}
+
+    def expected(rows):
+        want = {}
+        for key, measure, _, second, own, _, _ in rows:
+            if own:
+                length, registers = measures[measure].seconds, measures[measure].registers
+                inside = [r[6] for r in rows if r[:2] == (key, measure) and r[5] and second - length <= r[3] <= second]
+                found = sketch(np.array(inside, np.int64), registers) if inside else np.zeros(registers, np.uint8)
+                want[key, measure, second] = round(K.estimate(found))
+        return want
+
+    moved = []
+    monkeypatch.setattr(K.Frame, "at", lambda self, second, at=K.Frame.at: (moved.append(second), at(self, second))[1])
+    rows = [r for key in range(30) for measure in (0, 1) for r in made(key, measure, rng.randrange(1, 30), 900)]
+    for size in (7, 100, len(rows)):
+        assert run(rows, size) == expected(rows)
+    assert not moved
+    monkeypatch.setattr(K, "_CARRIED", 100)
+    monkeypatch.setattr(K, "_FRAME_VALUES", 5)
+    rows = [*made(1, 0, 20, 900), *made(1, 1, 300, 900), *made(2, 0, 90, 300), *made(2, 1, 3, 900)]
+    for size in (7, 64, len(rows)):
+        assert run(rows, size) == expected(rows)
+    assert moved
